@@ -1,0 +1,88 @@
+"""Pluggable encoders and classifiers, with offline forms, and clustering."""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+class RateLimited(Exception):
+    pass
+
+
+def retried(call: Callable[[], object], tries: int = 3, sleep: Callable[[float], None] = time.sleep) -> object:
+    """Doubling waits after a rate limit, one second after another error; the last error is raised."""
+    for n in range(tries):
+        try:
+            return call()
+        except RateLimited:
+            if n == tries - 1:
+                raise
+            sleep(2.0**n)
+        except Exception:
+            if n == tries - 1:
+                raise
+            sleep(1.0)
+
+
+def hashing_encoder(texts: list[str], size: int = 64) -> np.ndarray:
+    """A deterministic stand-in for a model: hashed words, L2-normalised."""
+    import zlib
+
+    out = np.zeros((len(texts), size), np.float32)
+    for i, t in enumerate(texts):
+        for w in t.lower().split():
+            h = zlib.crc32(w.encode())
+            out[i, h % size] += 1 - 2 * (h >> 31)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def embed(df: DataFrame, encoder: Callable[[list[str]], np.ndarray] = hashing_encoder, batch: int = 128) -> DataFrame:
+    """hash, vector, error of df (hash, text): an error spoils its batch only, a blank text is an error of its own."""
+    kind = dict(df.dtypes)["hash"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for at in range(0, len(f), batch):
+                part = f.iloc[at : at + batch]
+                full = [t if isinstance(t, str) and t.strip() else None for t in part["text"]]
+                error, vectors = None, {}
+                try:
+                    got = retried(lambda full=full: encoder([t.replace("↳", "-") for t in full if t]))
+                    vectors = dict(zip([i for i, t in enumerate(full) if t], got, strict=True))
+                except Exception as e:  # noqa: BLE001  told in the row
+                    error = type(e).__name__
+                yield pd.DataFrame({"hash": part["hash"].to_numpy(), "vector": [vectors[i].astype(float).tolist() if i in vectors else None for i in range(len(full))], "error": ["blank" if t is None else error for t in full]})
+
+    return df.select("hash", "text").mapInPandas(run, f"hash {kind}, vector array<double>, error string")
+
+
+def kmeans(df: DataFrame, vector: str, k: int = 5, seed: int = 0) -> DataFrame:
+    """df with `cluster`, by pyspark.ml."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    f = df.withColumn("__v", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
+    return KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="cluster").fit(f).transform(f).drop("__v")
+
+
+def silhouette(df: DataFrame, vector: str) -> float:
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    f = df.withColumn("__v", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
+    return ClusteringEvaluator(featuresCol="__v", predictionCol="cluster", distanceMeasure="cosine").evaluate(f)
+
+
+def plane(df: DataFrame, vector: str) -> DataFrame:
+    """Two principal components, `xy`: a linear stand-in for a neighbour embedding, not its equal."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    f = df.withColumn("__v", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
+    return PCA(k=2, inputCol="__v", outputCol="__p").fit(f).transform(f).withColumn("xy", vector_to_array("__p")).drop("__v", "__p")

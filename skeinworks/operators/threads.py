@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.shared import cut
 
 MAX_DEPTH, LARGE, MIN_TEXT = 10, 50_000, 20
 
@@ -38,19 +39,23 @@ def roots_and_replies(posts: DataFrame) -> DataFrame:
 
 
 def tree(posts: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """root, hash, parent_hash, fid, depth, path of each post that its root reaches: a join by level. AQE sees each level's size."""
+    """root, hash, parent_hash, fid, depth, path of each post that its root reaches: a join by level, each level written once; ends with the deepest thread."""
     at = posts.where("parent_hash IS NULL AND hash = root_hash").select(F.col("hash").alias("root"), "hash", "parent_hash", "fid", F.lit(0).alias("depth"), F.array("hash").alias("path"))
+    at = cut(at)
     child = posts.where("parent_hash IS NOT NULL").select(F.col("hash").alias("child"), F.col("parent_hash").alias("parent"), F.col("fid").alias("child_fid"))
     out = at
     for depth in range(1, max_depth + 1):
         at = at.join(child, F.col("hash") == F.col("parent")).select("root", F.col("child").alias("hash"), F.col("parent").alias("parent_hash"), F.col("child_fid").alias("fid"), F.lit(depth).alias("depth"), F.array_append("path", F.col("child")).alias("path"))
+        at = cut(at)
+        if at.isEmpty():
+            break
         out = out.unionAll(at)
     return out
 
 
 def enriched(tree_: DataFrame, profiles: DataFrame, counts: DataFrame) -> DataFrame:
     """With username and n_reactions; posts without a profile go."""
-    return tree_.join(profiles, "fid").join(counts, "hash", "left").withColumn("n_reactions", F.coalesce("n_reactions", F.lit(0)))
+    return cut(tree_.join(profiles, "fid").join(counts, "hash", "left").withColumn("n_reactions", F.coalesce("n_reactions", F.lit(0))))
 
 
 def popular(nodes: DataFrame, floor: int = 2) -> DataFrame:
@@ -67,7 +72,7 @@ def kept(nodes: DataFrame, reactions: DataFrame, floor: int = 2) -> DataFrame:
     liked = nodes.join(op, "root").join(reactions.select(F.col("fid").alias("op_fid"), F.col("target_hash").alias("hash")), ["op_fid", "hash"], "left_semi").select("root", "hash")
     seeds = own.union(liked).union(popular(nodes, floor).select("root", "hash")).distinct()
     way = nodes.join(seeds, ["root", "hash"], "left_semi").select("root", F.explode("path").alias("hash")).distinct()
-    return nodes.join(way, ["root", "hash"], "left_semi")
+    return cut(nodes.join(way, ["root", "hash"], "left_semi"))
 
 
 def subtree_popularity(kept_: DataFrame) -> DataFrame:
@@ -78,7 +83,7 @@ def subtree_popularity(kept_: DataFrame) -> DataFrame:
 
 def sibling_rank(kept_: DataFrame) -> DataFrame:
     w = Window.partitionBy("root", "parent_hash").orderBy(F.desc_nulls_last("popularity"), "hash")
-    return kept_.join(subtree_popularity(kept_), ["root", "hash"]).withColumn("sibling", F.row_number().over(w))
+    return cut(kept_.join(subtree_popularity(kept_), ["root", "hash"]).withColumn("sibling", F.row_number().over(w)))
 
 
 def preorder(kept_: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
@@ -107,12 +112,13 @@ def mentions_in(posts: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def quote_walk(seeds: DataFrame, posts: DataFrame, profiles: DataFrame, levels: int = 3) -> DataFrame:
     """hash, quoted, level, path of posts on quote chains from the seeds (hash); no post twice on a chain, each with a profile. posts: hash, fid, quotes (array)."""
-    known = posts.join(profiles, "fid").select("hash", "quotes", "username")
+    known = cut(posts.join(profiles, "fid").select("hash", "quotes", "username"))
     at = known.join(seeds.select("hash").distinct(), "hash", "left_semi").select("hash", "quotes", "username", F.lit(0).alias("level"), F.array("hash").alias("path"))
     out = at
     for level in range(1, levels + 1):
         to = at.select("path", F.explode(F.array_distinct("quotes")).alias("hash")).where(~F.array_contains("path", F.col("hash")))
         at = to.join(known, "hash").select("hash", "quotes", "username", F.lit(level).alias("level"), F.array_append("path", F.col("hash")).alias("path"))
+        at = cut(at)
         out = out.unionAll(at)
     return out
 
@@ -120,7 +126,7 @@ def quote_walk(seeds: DataFrame, posts: DataFrame, profiles: DataFrame, levels:
 def quote_texts(walk: DataFrame, bodies: DataFrame, rounds: int = 8) -> DataFrame:
     """hash, hydrated: texts with their quotes written in, from the leaves up; the first round in which a quoted post is done decides,
     within it the smallest hash. Posts that no leaf supports have no row. bodies: hash, body, tail."""
-    nodes = walk.groupBy("hash").agg(F.first("quotes").alias("quotes"), F.first("username").alias("username")).join(bodies, "hash")
+    nodes = cut(walk.groupBy("hash").agg(F.first("quotes").alias("quotes"), F.first("username").alias("username")).join(bodies, "hash"))
     quotes = F.coalesce("quotes", F.array().cast("array<bigint>"))
     done = nodes.where(F.size(quotes) == 0).select("hash", F.concat("body", "tail").alias("hydrated"), "username")
     edges = nodes.where(F.size(quotes) > 0).select("hash", F.explode(F.array_distinct("quotes")).alias("child"))
@@ -128,6 +134,9 @@ def quote_texts(walk: DataFrame, bodies: DataFrame, rounds: int = 8) -> DataFram
         ready = edges.join(done.select("hash"), "hash", "left_anti").join(done.select(F.col("hash").alias("child"), "hydrated", F.col("username").alias("by")), "child")
         first = ready.groupBy("hash").agg(F.min_by(F.struct("hydrated", "by"), "child").alias("q"))
         new = nodes.join(first, "hash").select("hash", F.concat_ws("", "body", F.lit(' QUOTE:["'), "q.hydrated", F.lit('" - @'), "q.by", F.lit("]"), "tail").alias("hydrated"), "username")
+        new = cut(new)
+        if new.isEmpty():
+            break
         done = done.unionAll(new)
     return done.select("hash", "hydrated")
 
