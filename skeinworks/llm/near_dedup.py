@@ -7,10 +7,10 @@ two texts agree in a coordinate with the probability of their weighted Jaccard s
 for a text, however many elements it has.
 
 Elements are the distinct word 5-shingles (weight 1), or with weights="count" weighted by how often they occur.
-Bands of equal signature parts give candidates. In each bucket, members are compared with a few leaders only, so that a
-bucket of n texts makes n pairs, not n squared; members that match no leader stay for the next round with four times as
-many leaders, until nothing is left. Each pair is verified by its exact similarity. A class is a connected component of
-links; equal texts are one node from the start. At similarity 0.8, 36 bands of 6 miss a pair with probability 2e-5.
+Bands of equal signature parts give candidates. In each bucket, members are compared with leaders only, so that a bucket of
+n texts makes n pairs, not n squared; later rounds compare what is not yet connected (see links). Each pair is verified by its
+exact similarity. A class is a connected component of links; equal texts (by a 64-bit hash) are one node from the start. At
+similarity 0.8, 36 bands of 6 miss a pair with probability 2e-5. n_links counts the links that were compared.
 
 Null texts count as empty; empty texts are equal to each other and near to nothing else; texts of one to four words have
 one shingle. Repeated rows and ids are each returned.
@@ -140,38 +140,46 @@ def _similarity(n: int, weights: str):
 
 
 def links(nodes: DataFrame, texts: DataFrame, similarity: float, n: int = SHINGLE, weights: str = "set") -> DataFrame:
-    """Verified links a-b. nodes: node, bands. texts: node, text (a row or more of each node)."""
+    """Verified links a-b. nodes: node, bands. texts: node, text (a row or more of each node).
+
+    Round 0 compares each member of a bucket with the bucket's smallest node. Later rounds look at buckets that still hold
+    several components: all rows outside the bucket's first component meet a member, drawn anew for each bucket and round,
+    of 4**round components of the bucket, until that is all of them.
+    """
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    found, round_ = None, 0
+    leaders = rows.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "leader")
+    rows = cut(rows.join(leaders, "band"))  # buckets of one are out from here on
+    found = _verified(rows.where("node <> leader"), None, texts, n, weights)
+    round_ = 1
     while True:
-        part = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(4**round_))
-        leaders = rows.groupBy("band", part.alias("part")).agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.count("*").alias("n"))
-        if round_ == 0:
-            leaders = leaders.where("n > 1")
-        tested = cut(rows.join(leaders.select("band", "leader"), "band").where("node <> leader"))
-        pairs = tested.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        if round_:
-            pairs = pairs.join(found.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        if pairs.isEmpty():
-            break
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        used = cut(texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
-        side = lambda c: used.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
-        seen = cut(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_similarity(n, weights), "a binary, b binary, similarity double"))
-        found = seen if found is None else cut(found.union(seen))
-        # who matched a leader is settled in this bucket; leaders have been compared with all
         good = found.where(F.col("similarity") >= similarity)
-        met = tested.withColumn("a", F.least("node", "leader")).withColumn("b", F.greatest("node", "leader")).join(good.select("a", "b"), ["a", "b"], "left_semi").select("band", "node")
-        led = leaders.select("band", F.col("leader").alias("node"))
-        rows = cut(tested.select("band", "node").distinct().join(met.union(led).distinct(), ["band", "node"], "left_anti"))
-        rows = rows.join(rows.groupBy("band").count().where("count > 1").select("band"), "band", "left_semi")
+        roots = components(good)
+        own = rows.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = own.groupBy("band").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last").select("band", "first")
+        own = cut(own.join(mixed, "band"))
+        many = 4**round_
+        turn = F.xxhash64("node", "band", F.lit(round_))
+        heads = own.groupBy("band", "root").agg(F.min_by("node", turn).alias("leader"), F.min("first").alias("first"))
+        # the first component always leads; of the others, parts take turns
+        part = F.when(F.col("root") == F.col("first"), -1).otherwise(F.pmod(F.xxhash64("root", F.lit(round_)), F.lit(many)))
+        chosen = heads.groupBy("band", part.alias("part")).agg(F.min_by(F.struct("leader", "root"), "root").alias("l"), F.count("*").alias("n"))
+        tested = own.where("root <> first").join(chosen.select("band", F.col("l.leader").alias("leader"), F.col("l.root").alias("its")), "band").where("root <> its")
+        found = cut(found.union(_verified(tested, found, texts, n, weights)))
+        if chosen.where("n > 1").isEmpty():
+            return found.where(F.col("similarity") >= similarity)
         round_ += 1
-        if rows.isEmpty():
-            break
-    if found is None:
-        return nodes.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
-    return found.where(F.col("similarity") >= similarity)
+
+
+def _verified(tested: DataFrame, known: DataFrame | None, texts: DataFrame, n: int, weights: str) -> DataFrame:
+    """a, b, similarity of the distinct pairs node-leader that are not known."""
+    pairs = tested.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    if known is not None:
+        pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = cut(pairs)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    used = cut(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    side = lambda c: used.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    return cut(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_similarity(n, weights), "a bigint, b bigint, similarity double"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -192,10 +200,10 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
     shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weights: str = "set",
 ) -> DataFrame:
-    """doc_id, node (md5 of the text), class_id (smallest doc_id of the class), class_size (rows), n_links (links of the text to other texts), of every row."""
-    d = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("node", F.unhex(F.md5(F.col("text").cast("binary"))))
+    """doc_id, node (64-bit hash of the text), class_id (smallest doc_id of the class), class_size (rows), n_links (links of the text to other texts), of every row."""
+    d = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("node", F.xxhash64("text"))
     kind = dict(d.dtypes)["doc_id"]
-    base = cut(d.mapInArrow(_sketcher(bands, rows, shingle, weights), f"doc_id {kind}, node binary, bands array<bigint>"))
+    base = cut(d.mapInArrow(_sketcher(bands, rows, shingle, weights), f"doc_id {kind}, node bigint, bands array<bigint>"))
     nodes = cut(base.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("bands").alias("bands")))
     edges = cut(links(nodes, d.select("node", "text"), similarity, shingle, weights))
     roots = components(edges)
@@ -211,7 +219,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     from pyspark.sql import Window
 
     kept = cut(near_duplicates(docs, id_col, text_col, **options).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("node").alias("__node")))
-    own = F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
+    own = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     # the id decides together with the text, so that a group of copies meets in no task
     marked = docs.withColumn("__node", own).withColumn("__id", F.col(f"`{id_col}`"))
     one = marked.join(kept.select(F.col("class_id").alias("__class"), F.col("__node").alias("__kept")), F.col("__id").eqNullSafe(F.col("__class")) & (F.col("__node") == F.col("__kept")))
