@@ -151,9 +151,9 @@ def thread_blob_full(m: Model) -> DataFrame:
     return threads.build(_arrays(m.posts), m.reactions, m.user_labels, m.profiles)
 
 
-@query(f"""{oracle('posts', 'profiles')}, at AS (SELECT p.hash, p.text, u.username, CASE WHEN octet_length(CAST(encode(p.text) AS BLOB)) <= 10 THEN length(p.text)
-   ELSE len(list_filter(list_transform(range(1, length(p.text) + 1), i -> octet_length(encode(substring(p.text, 1, i - 1)))), b -> b < 10)) END AS pos FROM posts p JOIN profiles u ON u.fid = p.mentioned)
- SELECT hash, substring(text, 1, pos) || '@' || username || substring(text, pos + 1) AS body FROM at""")
+@query(f"""{oracle('posts', 'profiles')}, placed AS (SELECT p.hash, p.text, u.username, CASE WHEN octet_length(CAST(encode(p.text) AS BLOB)) <= 10 THEN length(p.text)
+   ELSE len(list_filter(list_transform(range(1, length(p.text) + 1), lambda i: octet_length(encode(substring(p.text, 1, i - 1)))), lambda b: b < 10)) END AS pos FROM posts p JOIN profiles u ON u.fid = p.mentioned)
+ SELECT hash, substring(text, 1, pos) || '@' || username || substring(text, pos + 1) AS body FROM placed""")
 def mention_injection(m: Model) -> DataFrame:
     posts = _arrays(m.posts).where(F.size("mentions") > 0)
     return threads.mentions_in(posts, m.profiles).where("tags IS NOT NULL").select("hash", "body")
@@ -251,7 +251,7 @@ def lsh_normalize(m: Model) -> DataFrame:
     return m.raw("conversations").select("turn", "conv_id", T.normalise(F.col("text")).alias("norm"))
 
 
-@query(f"SELECT item_id, len(list_distinct(list_transform(range(1, greatest(2, length(n) - 1)), i -> substring(n, i, 3)))) AS n_shingles FROM (SELECT item_id, {_NORM} AS n FROM benchmark)")
+@query(f"SELECT item_id, len(list_distinct(list_transform(range(1, greatest(2, length(n) - 1)), lambda i: substring(n, i, 3)))) AS n_shingles FROM (SELECT item_id, {_NORM} AS n FROM benchmark)")
 def shingle_counts(m: Model) -> DataFrame:
     return m.raw("benchmark").select("item_id", F.size(T.char_shingles(T.normalise(F.col("text")))).cast("long").alias("n_shingles"))
 
@@ -261,7 +261,7 @@ def exact_norm_dupes(m: Model) -> DataFrame:
     return m.raw("documents").groupBy(T.normalise(F.col("text")).alias("norm")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("norm")
 
 
-@query(f"""SELECT item_id, p, list_min(list_transform(list_transform(range(1, greatest(2, length(n) - 1)), i -> substring(n, i, 3)), s -> CAST('0x' || substring(md5(p || '_' || s), 1, 8) AS BIGINT))) AS slot
+@query(f"""SELECT item_id, p, list_min(list_transform(list_transform(range(1, greatest(2, length(n) - 1)), lambda i: substring(n, i, 3)), lambda s: CAST('0x' || substring(md5(p || '_' || s), 1, 8) AS BIGINT))) AS slot
  FROM (SELECT item_id, {_NORM} AS n FROM benchmark), (SELECT unnest(range(0, 4)) AS p)""")
 def minhash_bands(m: Model) -> DataFrame:
     grams = m.raw("benchmark").select("item_id", F.explode(T.char_shingles(T.normalise(F.col("text")))).alias("s"))
@@ -282,19 +282,19 @@ def canonical_report(m: Model) -> DataFrame:
     return canonical.report(norm.join(firsts, "norm"))
 
 
-@query("WITH s AS (SELECT max(list_max(list_transform(embedding, x -> abs(CAST(x AS DOUBLE))))) / 127 AS scale FROM embeddings) SELECT vec_id, array_to_string(list_transform(embedding, x -> CAST(greatest(-128, least(127, round_even(CAST(x AS DOUBLE) / scale, 0))) AS INT)), ',') AS q FROM embeddings, s")
+@query("WITH s AS (SELECT max(list_max(list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE))))) / 127 AS scale FROM embeddings) SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CAST(greatest(-128, least(127, round_even(CAST(x AS DOUBLE) / scale, 0))) AS INT)), ',') AS q FROM embeddings, s")
 def quantize_int8(m: Model) -> DataFrame:
     return V.quantise(m.raw("embeddings"), "embedding").select("vec_id", F.array_join(F.transform("quantised", lambda x: x.cast("string")), ",").alias("q"))
 
 
-@query("""WITH s AS (SELECT max(list_max(list_transform(embedding, x -> abs(CAST(x AS DOUBLE))))) / 127 AS scale FROM embeddings), q AS (SELECT list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v, list_transform(embedding, x -> scale * greatest(-128, least(127, round_even(CAST(x AS DOUBLE) / scale, 0)))) AS w FROM embeddings, s)
+@query("""WITH s AS (SELECT max(list_max(list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE))))) / 127 AS scale FROM embeddings), q AS (SELECT list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v, list_transform(embedding, lambda x: scale * greatest(-128, least(127, round_even(CAST(x AS DOUBLE) / scale, 0)))) AS w FROM embeddings, s)
  SELECT round(avg(list_cosine_similarity(v, w)), 6) AS fidelity FROM q""")
 def quantize_fidelity(m: Model) -> DataFrame:
     q = V.quantise(m.raw("embeddings"), "embedding")
     return q.agg(F.round(F.avg(V.fidelity(F.col("embedding"), F.col("quantised"), F.col("scale"))), 6).alias("fidelity"))
 
 
-@query("SELECT vec_id, array_to_string(list_transform(embedding, x -> CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS bits FROM embeddings")
+@query("SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS bits FROM embeddings")
 def pack_bits(m: Model) -> DataFrame:
     return m.raw("embeddings").select("vec_id", V.signs(F.col("embedding")).alias("bits"))
 
@@ -303,7 +303,7 @@ def _top(pairs: DataFrame, order: Column, k: int) -> DataFrame:
     return pairs.withColumn("rn", F.row_number().over(Window.partitionBy("q_id").orderBy(order, "vec_id"))).where(F.col("rn") <= k)
 
 
-@query("""SELECT q_id, vec_id, distance FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, vec_id) AS rn FROM (SELECT q.vec_id AS q_id, e.vec_id, list_sum(list_transform(range(1, 65), i -> CASE WHEN (q.embedding[i] > 0) <> (e.embedding[i] > 0) THEN 1 ELSE 0 END)) AS distance
+@query("""SELECT q_id, vec_id, distance FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, vec_id) AS rn FROM (SELECT q.vec_id AS q_id, e.vec_id, list_sum(list_transform(range(1, 65), lambda i: CASE WHEN (q.embedding[i] > 0) <> (e.embedding[i] > 0) THEN 1 ELSE 0 END)) AS distance
  FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0 AND q.vec_id <> e.vec_id)) WHERE rn <= 10""")
 def hamming_topk(m: Model) -> DataFrame:
     """Every hundredth vector against all rows, in blocks of queries."""
