@@ -141,6 +141,34 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables of one run, as Parquet below the shared folder: smaller than checkpoints, and deleted as soon as they are not needed."""
+
+    def __init__(self, spark: SparkSession, kind: str):
+        self.spark, self.folder, self.n = spark, new_folder(spark, kind), 0
+
+    def put(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        path = f"{self.folder}/{self.n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            for path in {f.rpartition("/")[0] for f in t.inputFiles() if self.folder.rpartition("/")[2] in f}:
+                self._delete(path)
+
+    def close(self, result: DataFrame) -> DataFrame:
+        """The result as a checkpoint; all tables go."""
+        out = cut(result)
+        self._delete(self.folder)
+        return out
+
+    def _delete(self, path: str) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """The address of a fresh folder below the shared one."""
     return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import U64, cut, gather, hashes, join_hash, mix, ngrams, pick, spread, strings, table, uniform, words
+from ._common import U64, Scratch, cut, gather, hashes, join_hash, mix, ngrams, pick, spread, strings, table, uniform, words
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 5, 36, 6, 0.8
 _STEP = U64(0x9E3779B97F4A7C15)
@@ -139,59 +140,78 @@ def _similarity(n: int, weights: str):
     return run
 
 
-def links(nodes: DataFrame, texts: DataFrame, similarity: float, n: int = SHINGLE, weights: str = "set") -> DataFrame:
-    """Verified links a-b. nodes: node, bands. texts: node, text (a row or more of each node).
+def links(nodes: DataFrame, texts: DataFrame, similarity: float, keep: Scratch, n: int = SHINGLE, weights: str = "set") -> tuple[DataFrame, DataFrame]:
+    """Verified links a-b, and node, root of every node with a link. nodes: node, bands. texts: node, text (a row or more of each node).
 
     Round 0 compares each member of a bucket with the bucket's smallest node. Later rounds look at buckets that still hold
-    several components: all rows outside the bucket's first component meet a member, drawn anew for each bucket and round,
-    of 4**round components of the bucket, until that is all of them.
+    several components: all rows outside the bucket's first component meet a member of 4**round components of the bucket,
+    until that is all of them and a round finds no new link. In round 1 the member has the most links of its component
+    in the bucket, later it is drawn anew for each bucket and round.
     """
     rows = nodes.select("node", F.explode("bands").alias("band"))
     leaders = rows.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "leader")
-    rows = cut(rows.join(leaders, "band"))  # buckets of one are out from here on
-    found = _verified(rows.where("node <> leader"), None, texts, n, weights)
+    rows = keep.put(rows.join(leaders, "band"))  # buckets of one are out from here on
+    texts = keep.put(texts.groupBy("node").agg(F.first("text").alias("text")).join(rows.select("node").distinct(), "node", "left_semi"))
+    found = [_verified(rows.where("node <> leader"), None, texts, keep, n, weights)]
+    good = lambda: reduce(DataFrame.union, found).where(F.col("similarity") >= similarity).select("a", "b")
+    roots = components(good(), keep)
     round_ = 1
     while True:
-        good = found.where(F.col("similarity") >= similarity)
-        roots = components(good)
         own = rows.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = own.groupBy("band").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last").select("band", "first")
-        own = cut(own.join(mixed, "band"))
-        many = 4**round_
+        rows = keep.put(own.join(mixed, "band"))  # a bucket of one component stays so
         turn = F.xxhash64("node", "band", F.lit(round_))
-        heads = own.groupBy("band", "root").agg(F.min_by("node", turn).alias("leader"), F.min("first").alias("first"))
-        # the first component always leads; of the others, parts take turns
-        part = F.when(F.col("root") == F.col("first"), -1).otherwise(F.pmod(F.xxhash64("root", F.lit(round_)), F.lit(many)))
-        chosen = heads.groupBy("band", part.alias("part")).agg(F.min_by(F.struct("leader", "root"), "root").alias("l"), F.count("*").alias("n"))
-        tested = own.where("root <> first").join(chosen.select("band", F.col("l.leader").alias("leader"), F.col("l.root").alias("its")), "band").where("root <> its")
-        found = cut(found.union(_verified(tested, found, texts, n, weights)))
-        if chosen.where("n > 1").isEmpty():
-            return found.where(F.col("similarity") >= similarity)
+        if round_ == 1:
+            heads = rows.join(_degrees(good()), "node", "left").groupBy("band", "root").agg(F.min_by("node", F.struct(-F.coalesce("n_links", F.lit(0)), turn)).alias("leader"), F.min("first").alias("first"))
+        else:
+            heads = rows.groupBy("band", "root").agg(F.min_by("node", turn).alias("leader"), F.min("first").alias("first"))
+        # the first component always leads; of the others all do where they are few, else parts take turns
+        sizes = rows.groupBy("band").agg(F.count_distinct("root").alias("m"))
+        part = F.when(F.col("root") == F.col("first"), -1).when(F.col("m") <= 4**round_, F.col("root")).otherwise(F.pmod(F.xxhash64("root", F.lit(round_)), F.lit(4**round_)))
+        parts = heads.join(sizes, "band").groupBy("band", part.alias("part")).agg(F.min_by(F.struct("leader", "root"), "root").alias("l"), F.max("m").alias("m"))
+        chosen = keep.put(parts.select("band", F.col("l.leader").alias("leader"), F.col("l.root").alias("its"), "m"))
+        tested = rows.where("root <> first").join(chosen, "band").where("root <> its")
+        new = _verified(tested, reduce(DataFrame.union, found), texts, keep, n, weights)
+        found.append(new)
+        of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+        fresh = new.where(F.col("similarity") >= similarity).join(of("a"), "a", "left").join(of("b"), "b", "left")
+        fresh = keep.put(fresh.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).distinct())
+        if fresh.isEmpty():
+            if chosen.where(f"m > {4**round_}").isEmpty():
+                return good(), roots
+        else:  # the components of components
+            moved = components(fresh, keep)
+            all_ = roots.select("node", "root").union(fresh.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("root"))).distinct()
+            later = all_.join(moved.select(F.col("node").alias("root"), F.col("root").alias("higher")), "root", "left")
+            roots = keep.put(later.groupBy("node").agg(F.min(F.coalesce("higher", "root")).alias("root")))
         round_ += 1
 
 
-def _verified(tested: DataFrame, known: DataFrame | None, texts: DataFrame, n: int, weights: str) -> DataFrame:
-    """a, b, similarity of the distinct pairs node-leader that are not known."""
+def _degrees(edges: DataFrame) -> DataFrame:
+    return edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+
+
+def _verified(tested: DataFrame, known: DataFrame | None, texts: DataFrame, keep: Scratch, n: int, weights: str) -> DataFrame:
+    """a, b, similarity of the distinct pairs node-leader that are not known. texts: node, text (a row of each node)."""
     pairs = tested.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     if known is not None:
         pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-    pairs = cut(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    used = cut(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
-    side = lambda c: used.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
-    return cut(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_similarity(n, weights), "a bigint, b bigint, similarity double"))
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    return keep.put(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_similarity(n, weights), "a bigint, b bigint, similarity double"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, keep: Scratch) -> DataFrame:
     """node, root of every node with an edge: smallest labels spread along the edges, with pointer jumping, until none changes."""
-    both = cut(edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a")))
-    label = cut(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root")))
+    both = keep.put(edges.union(edges.select("b", "a")).toDF("node", "other"))
+    label = keep.put(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root")))
     while True:
         heard = both.join(label.select(F.col("node").alias("other"), "root"), "other").select("node", "root")
         low = heard.union(label).groupBy("node").agg(F.min("root").alias("root"))
         jump = low.join(label.select(F.col("node").alias("root"), F.col("root").alias("far")), "root", "left").select("node", F.least("root", F.coalesce("far", "root")).alias("root"))
-        new = cut(jump)
-        if new.join(label.withColumnRenamed("root", "old"), "node").where("root <> old").isEmpty():
+        new = keep.put(jump)
+        same = new.join(label.withColumnRenamed("root", "old"), "node").where("root <> old").isEmpty()
+        keep.drop(label, *[both] * same)
+        if same:
             return new
         label = new
 
@@ -201,17 +221,16 @@ def near_duplicates(
     shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weights: str = "set",
 ) -> DataFrame:
     """doc_id, node (64-bit hash of the text), class_id (smallest doc_id of the class), class_size (rows), n_links (links of the text to other texts), of every row."""
+    keep = Scratch(docs.sparkSession, "near-dedup")
     d = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("node", F.xxhash64("text"))
-    kind = dict(d.dtypes)["doc_id"]
-    base = cut(d.mapInArrow(_sketcher(bands, rows, shingle, weights), f"doc_id {kind}, node bigint, bands array<bigint>"))
-    nodes = cut(base.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("bands").alias("bands")))
-    edges = cut(links(nodes, d.select("node", "text"), similarity, shingle, weights))
-    roots = components(edges)
-    degree = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    named = cut(nodes.drop("bands").join(roots, "node", "left").join(degree, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    classes = cut(named.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size")))
-    known = cut(named.join(classes, "root").select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    return base.select("doc_id", "node").join(known, "node").select("doc_id", "node", "class_id", "class_size", "n_links")
+    kind = d.schema["doc_id"].dataType.simpleString()
+    base = keep.put(d.mapInArrow(_sketcher(bands, rows, shingle, weights), f"doc_id {kind}, node bigint, bands array<bigint>"))
+    nodes = keep.put(base.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("bands").alias("bands")))
+    edges, roots = links(nodes, d.select("node", "text"), similarity, keep, shingle, weights)
+    named = keep.put(nodes.drop("bands").join(roots, "node", "left").join(_degrees(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
+    classes = named.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"))
+    known = keep.put(named.join(classes, "root").select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    return keep.close(base.select("doc_id", "node").join(known, "node").select("doc_id", "node", "class_id", "class_size", "n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
