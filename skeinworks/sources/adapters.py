@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .shared import cut
+
 #: The same text builds the model in both engines.
 MODEL = {
     "users": "SELECT max(user_id) + 1 AS n_users FROM events",
@@ -43,7 +45,7 @@ class Model:
     @property
     def posts(self) -> DataFrame:
         users = self.spark.sql("SELECT max(user_id) + 1 AS n_users FROM {events}", events=self.raw("events"))
-        return self._sql("posts", documents=self.raw("documents"), users=users)
+        return cut(self._sql("posts", documents=self.raw("documents"), users=users))  # written once: joins would repeat its rules
 
     @property
     def reactions(self) -> DataFrame:

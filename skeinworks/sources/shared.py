@@ -9,8 +9,17 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows, written below spark.checkpoint.dir (or a folder of our own where that is unset, as in tests)."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "skeinworks-shared"))
-    return df.checkpoint(eager=True)
+    """The rows, written below spark.checkpoint.dir (or a folder of our own where that is unset, as in tests).
+
+    A checkpoint hands on the constraints of its plan, and a loop of joins multiplies them until no plan is ready in
+    time; so they are left out here.
+    """
+    spark, name = df.sparkSession, "spark.sql.constraintPropagation.enabled"
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "skeinworks-shared"))
+    was = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(name, was)
