@@ -7,9 +7,10 @@ two texts agree in a coordinate with the probability of their weighted Jaccard s
 for a text, however many elements it has.
 
 Elements are the distinct word 5-shingles (weight 1), or with weights="count" weighted by how often they occur.
-Bands of equal signature parts give candidates. In each bucket, members are compared with leaders only, so that a bucket of
-n texts makes n pairs, not n squared; later rounds compare what is not yet connected (see links). Each pair is verified by its
-exact similarity. A class is a connected component of links; equal texts (by a 64-bit hash) are one node from the start. At
+Bands of equal signature parts give candidates. In each bucket, members are compared with leaders only; later rounds compare
+what is not yet connected (see links), at most each member with one of every other component. So a bucket of n texts that are
+alike makes about n pairs, but one of n texts below the similarity up to n squared; and a link that only one member of a large
+component has can be missed where that member is never drawn. Each pair is verified by its exact similarity. A class is a connected component of links; equal texts (by a 64-bit hash) are one node from the start. At
 similarity 0.8, 36 bands of 6 miss a pair with probability 2e-5. n_links counts the links that were compared.
 
 Null texts count as empty; empty texts are equal to each other and near to nothing else; texts of one to four words have
