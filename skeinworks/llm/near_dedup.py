@@ -7,11 +7,10 @@ two texts agree in a coordinate with the probability of their weighted Jaccard s
 for a text, however many elements it has.
 
 Elements are the distinct word 5-shingles (weight 1), or with weights="count" weighted by how often they occur.
-Bands of equal signature parts give candidates. In each bucket, members are compared with leaders only; later rounds compare
-what is not yet connected (see links), at most each member with one of every other component. So a bucket of n texts that are
-alike makes about n pairs, but one of n texts below the similarity up to n squared; and a link that only one member of a large
-component has can be missed where that member is never drawn. Each pair is verified by its exact similarity. A class is a connected component of links; equal texts (by a 64-bit hash) are one node from the start. At
-similarity 0.8, 36 bands of 6 miss a pair with probability 2e-5. n_links counts the links that were compared.
+Bands of equal signature parts give candidates. Nodes that hang together by candidates form a group, and all pairs of a group are
+compared by their exact similarity, large groups block by block (see links). The work grows with the square of a group's size, the
+rows with that over the size of a block. A class is a connected component of links; equal texts (by a 64-bit hash) are one node from
+the start. At similarity 0.8, 36 bands of 6 miss a pair with probability 2e-5, unless other texts hold it together.
 
 Null texts count as empty; empty texts are equal to each other and near to nothing else; texts of one to four words have
 one shingle. Repeated rows and ids are each returned.
@@ -21,17 +20,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import U64, Scratch, cut, gather, hashes, join_hash, mix, ngrams, pick, spread, strings, table, uniform, words
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 5, 36, 6, 0.8
+#: A block of a large group holds about so many nodes and elements at most; that bounds a task's memory.
+NODES, WEIGHT = 1500, 1 << 20
+RARE = 16
 _STEP = U64(0x9E3779B97F4A7C15)
 _TABLES: dict[int, np.ndarray] = {}
 
@@ -118,87 +118,154 @@ def _sketcher(bands: int, rows: int, n: int, weights: str):
             some = np.bincount(owner, minlength=len(texts)) > 0
             flat = pa.array(key[some].reshape(-1).view(np.int64))
             ends = np.concatenate(([0], np.cumsum(some * bands))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "node", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("node"), pa.array(np.bincount(owner, w, len(texts))), pa.ListArray.from_arrays(pa.array(ends), flat)],
+                names=["doc_id", "node", "size", "bands"],
+            )
 
     return run
 
 
-def _similarity(n: int, weights: str):
+def _whole(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows in order of `pair`, joined to batches of about `size` bytes that split no pair."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        if sum(x.nbytes for x in held) < size:
+            continue
+        t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        pair = t.column("pair").to_numpy()
+        at = int(np.searchsorted(pair, pair[-1]))
+        if at:
+            yield t.slice(0, at)
+        held = [t.slice(at)]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _overlaps(code: np.ndarray, owner: np.ndarray, group: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """i, j and the number of common elements of each pair of rows that has some: rows of one group, and of its two sides where it has two.
+
+    code: the elements, those of a group together and in order; owner: their rows. Elements of up to RARE rows are counted pair by pair,
+    others as products of 0/1 matrices.
+    """
+    k = len(group)
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.empty(0, np.int64)
+    many = np.diff(np.append(first, len(code)))
+    df, nth = np.repeat(many, many), np.repeat(np.arange(len(many)), many)
+    keys, low = [np.empty(0, np.int64)], (df > 1) & (df <= RARE)
+    o, c = owner[low], nth[low]
+    for lag in range(1, RARE):
+        at = np.flatnonzero(c[lag:] == c[:-lag])
+        keys.append(o[at] * k + o[at + lag])
+    key, both = np.unique(np.concatenate(keys), return_counts=True)
+    i, j = key // k, key % k
+    lo, hi = np.searchsorted(group, np.arange(group[-1] + 1)), np.searchsorted(group, np.arange(group[-1] + 1), side="right")
+    two = np.array([side[x:y].any() and not side[x:y].all() for x, y in zip(lo, hi, strict=True)])
+    ok = ~two[group[i]] | (side[i] != side[j])
+    i, j, both = i[ok], j[ok], both[ok]
+    o, c = owner[df > RARE], nth[df > RARE]
+    dense = np.zeros(group[-1] + 1, bool)
+    dense[group[o]] = True
+    alone = ~dense[group[i]]
+    yield i[alone], j[alone], both[alone]
+    of = group[o]
+    for g in np.flatnonzero(dense):
+        rows = np.arange(lo[g], hi[g])
+        left, right = (rows[side[rows] == 0], rows[side[rows] == 1]) if two[g] else (rows, rows)
+        place_l, place_r = np.full(k, -1), np.full(k, -1)
+        place_l[left], place_r[right] = np.arange(len(left)), np.arange(len(right))
+        x, y = np.searchsorted(of, g), np.searchsorted(of, g, side="right")
+        eo, ec = o[x:y], c[x:y]
+        inter = np.zeros((len(left), len(right)), np.float32)
+        codes = np.unique(ec)
+        for at in range(0, len(codes), 1024):
+            u, v = np.searchsorted(ec, codes[at]), np.searchsorted(ec, codes[min(at + 1024, len(codes)) - 1], side="right")
+            col = np.searchsorted(codes[at : at + 1024], ec[u:v])
+            m = [np.zeros((len(z), min(1024, len(codes) - at)), np.float32) for z in (left, right)]
+            for z, place in zip(m, (place_l, place_r), strict=True):
+                in_ = place[eo[u:v]] >= 0
+                z[place[eo[u:v]][in_], col[in_]] = 1
+            inter += m[0] @ m[1].T
+        mine = group[i] == g
+        a, b, n = i[mine], j[mine], both[mine]
+        if two[g]:
+            a, b = np.where(side[a] == 0, a, b), np.where(side[a] == 0, b, a)
+        inter[place_l[a], place_r[b]] += n
+        if not two[g]:
+            inter = np.triu(inter, 1)
+        a, b = np.nonzero(inter)
+        yield left[a], right[b], inter[a, b]
+
+
+def _matcher(similarity: float, n: int, weights: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in gather(batches, "text_a", 2 << 20):
-            k = b.num_rows
-            g, owner, many = shingles(pa.concat_arrays([strings(b.column("text_a")), strings(b.column("text_b"))]), n)
-            w = many.astype(float) if weights == "count" else np.ones(len(g))
-            pair = owner % k
-            order = np.lexsort((g, pair))
-            g, pair, w = g[order], pair[order], w[order]
-            same = np.flatnonzero((g[1:] == g[:-1]) & (pair[1:] == pair[:-1]))
-            both = np.bincount(pair[same], np.minimum(w[same], w[same + 1]), k)
-            total = np.bincount(pair, w, k)
-            sim = both / np.maximum(total - both, 1e-12)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(sim)], names=["a", "b", "similarity"])
+        for t in _whole(batches):
+            g, owner, many = shingles(strings(t.column("text")), n)
+            if weights == "count":  # an element that occurs twice is two elements: what two texts share is the sum of the smaller counts
+                nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                g, owner = join_hash(np.repeat(g, many), nth.astype(U64)), np.repeat(owner, many)
+            k, total = t.num_rows, np.bincount(owner, minlength=t.num_rows)
+            pair, node = t.column("pair").to_numpy(), t.column("node").to_numpy()
+            group = np.cumsum(np.append(False, pair[1:] != pair[:-1]))
+            order = np.lexsort((g, group[owner]))
+            g, owner = g[order], owner[order]
+            code = np.cumsum(np.append(False, (g[1:] != g[:-1]) | (group[owner][1:] != group[owner][:-1]))) if len(g) else np.empty(0, np.int64)
+            degree, root = np.zeros(k, np.int64), np.arange(k)
+            for i, j, both in _overlaps(code, owner, group, t.column("side").to_numpy()):
+                ok = both / np.maximum(total[i] + total[j] - both.astype(float), 1e-12) >= similarity
+                i, j = i[ok], j[ok]
+                degree += np.bincount(i, minlength=k) + np.bincount(j, minlength=k)
+                while len(i):
+                    low, was = np.minimum(root[i], root[j]), root.copy()
+                    np.minimum.at(root, i, low)
+                    np.minimum.at(root, j, low)
+                    root = root[root]
+                    if (root == was).all():
+                        break
+            some = degree > 0
+            yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(node[root[some]]), pa.array(degree[some])], names=["node", "root", "n_links"])
 
     return run
 
 
 def links(nodes: DataFrame, texts: DataFrame, similarity: float, keep: Scratch, n: int = SHINGLE, weights: str = "set") -> tuple[DataFrame, DataFrame]:
-    """Verified links a-b, and node, root of every node with a link. nodes: node, bands. texts: node, text (a row or more of each node).
+    """node, n_links and node, root of every node with a link. nodes: node, size, bands. texts: node, text (a row or more of each node).
 
-    Round 0 compares each member of a bucket with the bucket's smallest node. Later rounds look at buckets that still hold
-    several components: all rows outside the bucket's first component meet a member of 4**round components of the bucket,
-    until that is all of them and a round finds no new link. In round 1 the member has the most links of its component
-    in the bucket, later it is drawn anew for each bucket and round.
+    Nodes that share a band are candidates, and a group is a component of candidates. Every pair of nodes of a group is compared, each
+    once: a group beyond NODES nodes or WEIGHT elements is dealt into blocks, and each two blocks meet in one task, which gives back
+    how many links each node has there and a node of the part it hangs together with, not the links.
+    Pairs of blocks whose sizes alone keep all similarities below the bound are left out.
     """
     rows = nodes.select("node", F.explode("bands").alias("band"))
     leaders = rows.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "leader")
-    rows = keep.put(rows.join(leaders, "band"))  # buckets of one are out from here on
-    texts = keep.put(texts.groupBy("node").agg(F.first("text").alias("text")).join(rows.select("node").distinct(), "node", "left_semi"))
-    found = [_verified(rows.where("node <> leader"), None, texts, keep, n, weights)]
-    good = lambda: reduce(DataFrame.union, found).where(F.col("similarity") >= similarity).select("a", "b")
-    roots = components(good(), keep)
-    round_ = 1
-    while True:
-        own = rows.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = own.groupBy("band").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last").select("band", "first")
-        rows = keep.put(own.join(mixed, "band"))  # a bucket of one component stays so
-        turn = F.xxhash64("node", "band", F.lit(round_))
-        if round_ == 1:
-            heads = rows.join(_degrees(good()), "node", "left").groupBy("band", "root").agg(F.min_by("node", F.struct(-F.coalesce("n_links", F.lit(0)), turn)).alias("leader"), F.min("first").alias("first"))
-        else:
-            heads = rows.groupBy("band", "root").agg(F.min_by("node", turn).alias("leader"), F.min("first").alias("first"))
-        # the first component always leads; of the others all do where they are few, else parts take turns
-        sizes = rows.groupBy("band").agg(F.count_distinct("root").alias("m"))
-        part = F.when(F.col("root") == F.col("first"), -1).when(F.col("m") <= 4**round_, F.col("root")).otherwise(F.pmod(F.xxhash64("root", F.lit(round_)), F.lit(4**round_)))
-        parts = heads.join(sizes, "band").groupBy("band", part.alias("part")).agg(F.min_by(F.struct("leader", "root"), "root").alias("l"), F.max("m").alias("m"))
-        chosen = keep.put(parts.select("band", F.col("l.leader").alias("leader"), F.col("l.root").alias("its"), "m"))
-        tested = rows.where("root <> first").join(chosen, "band").where("root <> its")
-        new = _verified(tested, reduce(DataFrame.union, found), texts, keep, n, weights)
-        found.append(new)
-        of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-        fresh = new.where(F.col("similarity") >= similarity).join(of("a"), "a", "left").join(of("b"), "b", "left")
-        fresh = keep.put(fresh.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).distinct())
-        if fresh.isEmpty():
-            if chosen.where(f"m > {4**round_}").isEmpty():
-                return good(), roots
-        else:  # the components of components
-            moved = components(fresh, keep)
-            all_ = roots.select("node", "root").union(fresh.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("root"))).distinct()
-            later = all_.join(moved.select(F.col("node").alias("root"), F.col("root").alias("higher")), "root", "left")
-            roots = keep.put(later.groupBy("node").agg(F.min(F.coalesce("higher", "root")).alias("root")))
-        round_ += 1
-
-
-def _degrees(edges: DataFrame) -> DataFrame:
-    return edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-
-
-def _verified(tested: DataFrame, known: DataFrame | None, texts: DataFrame, keep: Scratch, n: int, weights: str) -> DataFrame:
-    """a, b, similarity of the distinct pairs node-leader that are not known. texts: node, text (a row of each node)."""
-    pairs = tested.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    if known is not None:
-        pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
-    return keep.put(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_similarity(n, weights), "a bigint, b bigint, similarity double"))
+    near = keep.put(rows.join(leaders, "band").where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    grouped = keep.put(components(near, keep).join(nodes.select("node", "size"), "node"))
+    big = grouped.groupBy("root").agg(((F.count("*") > NODES) | (F.sum("size") > WEIGHT)).alias("big"))
+    # sizes two grades apart differ by more than the similarity lets them
+    step = max(-math.log(similarity), 0.01) * 1.0001 if similarity > 0 else None
+    grade = F.when(F.col("big"), F.floor(F.log(F.greatest("size", F.lit(1.0))) / step)).otherwise(F.lit(0)) if step else F.lit(0)
+    graded = grouped.join(big, "root").select("root", "node", grade.cast("int").alias("grade"), "size")
+    cells = keep.put(graded.groupBy("root", "grade").agg(F.ceil(F.greatest(F.count("*") / NODES, F.sum("size") / WEIGHT, F.lit(1.0))).cast("int").alias("parts")))
+    beside = lambda by, c: cells.select("root", (F.col("grade") + by).alias("grade"), F.col("parts").alias(c))
+    known = cells.join(beside(-1, "above"), ["root", "grade"], "left").join(beside(1, "below"), ["root", "grade"], "left").na.fill(0, ["above", "below"])
+    at = graded.join(known, ["root", "grade"]).withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), "parts").cast("int"))
+    span = lambda c: F.slice(F.sequence(F.lit(0), F.col(c)), F.lit(1), F.col(c))
+    block = lambda g, p, h, q, side: F.struct(F.xxhash64("root", g, p, h, q).alias("pair"), side.cast("int").alias("side"))
+    own, part = F.col("grade"), F.col("part")
+    pairs = F.concat(
+        F.transform(span("parts"), lambda q: block(own, F.least(part, q), own, F.greatest(part, q), part > q)),
+        F.transform(span("above"), lambda q: block(own, part, own + 1, q, F.lit(0))),
+        F.transform(span("below"), lambda q: block(own - 1, q, own, part, F.lit(1))),
+    )
+    dealt = keep.put(at.select("node", F.explode(pairs).alias("p")).select("node", "p.*"))
+    texts = texts.join(grouped.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    met = dealt.join(texts, "node").repartition("pair").sortWithinPartitions("pair")
+    found = keep.put(met.mapInArrow(_matcher(similarity, n, weights), "node bigint, root bigint, n_links bigint"))
+    joined = keep.put(found.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).distinct())
+    return found.groupBy("node").agg(F.sum("n_links").alias("n_links")), components(joined, keep)
 
 
 def components(edges: DataFrame, keep: Scratch) -> DataFrame:
@@ -225,10 +292,10 @@ def near_duplicates(
     keep = Scratch(docs.sparkSession, "near-dedup")
     d = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("node", F.xxhash64("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
-    base = keep.put(d.mapInArrow(_sketcher(bands, rows, shingle, weights), f"doc_id {kind}, node bigint, bands array<bigint>"))
-    nodes = keep.put(base.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("bands").alias("bands")))
-    edges, roots = links(nodes, d.select("node", "text"), similarity, keep, shingle, weights)
-    named = keep.put(nodes.drop("bands").join(roots, "node", "left").join(_degrees(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
+    base = keep.put(d.mapInArrow(_sketcher(bands, rows, shingle, weights), f"doc_id {kind}, node bigint, size double, bands array<bigint>"))
+    nodes = keep.put(base.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands")))
+    degrees, roots = links(nodes, d.select("node", "text"), similarity, keep, shingle, weights)
+    named = keep.put(nodes.drop("bands", "size").join(roots, "node", "left").join(degrees, "node", "left").withColumn("root", F.coalesce("root", "node")))
     classes = named.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"))
     known = keep.put(named.join(classes, "root").select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
     return keep.close(base.select("doc_id", "node").join(known, "node").select("doc_id", "node", "class_id", "class_size", "n_links"))

@@ -117,6 +117,38 @@ def test_near_duplicates(docs, none):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def brute_links(texts):
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in map(str.split, texts)]
+    return [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+
+
+@pytest.mark.parametrize("block", [100, 1500])
+def test_links_of_one_member(spark, monkeypatch, block):
+    """Texts that are near to one member only of a large class, and share bands with many of it."""
+    monkeypatch.setattr(near_dedup, "NODES", block)
+    r = random.Random(11)
+
+    def changed(text, n):
+        w = text.split()
+        for at in r.sample(range(5, 195, 8), n):
+            w[at] = f"c{r.randrange(10**9)}"
+        return " ".join(w)
+
+    hub = " ".join(f"h{i}" for i in range(200))
+    members = [changed(hub, 3) for _ in range(600)]
+    texts = [hub, *members, *(changed(m, 3) for m in members[:12])]
+    root = list(range(len(texts)))
+
+    def top(x):
+        return x if root[x] == x else top(root[x])
+
+    for i, j in brute_links(texts):
+        a, b = sorted((top(i), top(j)))
+        root[b] = a
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {x.doc_id: x.class_id for x in got.collect()} == {i: top(i) for i in range(len(texts))}
+
+
 def test_signatures():
     same, n, size = [], 40, 60
     for k in range(n):
