@@ -149,6 +149,24 @@ def test_links_of_one_member(spark, monkeypatch, block):
     assert {x.doc_id: x.class_id for x in got.collect()} == {i: top(i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("block, weights", [(8, "set"), (1500, "set"), (8, "count")])
+def test_link_counts(spark, monkeypatch, block, weights):
+    """Every link counts: of texts of one length and of others, in one block and in many."""
+    monkeypatch.setattr(near_dedup, "NODES", block)
+    r = random.Random(12)
+    whole = [f"l{i}" for i in range(300)]
+    texts = []
+    for k in range(90):
+        own = whole[: r.choice((150, 170, 200, 230, 260, 300))]
+        for _ in range(r.randrange(4)):
+            own[r.randrange(len(own))] = f"x{k}"
+        texts.append(" ".join(own))
+    texts = sorted(set(texts))
+    want = Counter(x for pair in brute_links(texts) for x in pair)
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), weights=weights)
+    assert {x.doc_id: x.n_links for x in got.collect()} == {i: want[i] for i in range(len(texts))}
+
+
 def test_signatures():
     same, n, size = [], 40, 60
     for k in range(n):
