@@ -288,7 +288,7 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
     shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weights: str = "set",
 ) -> DataFrame:
-    """doc_id, node (64-bit hash of the text), class_id (smallest doc_id of the class), class_size (rows), n_links (links of the text to other texts), of every row."""
+    """doc_id, node (64-bit hash of the text), root (a node that names the class), class_id (smallest doc_id of the class), class_size (rows), n_links (links of the text to other texts), of every row."""
     keep = Scratch(docs.sparkSession, "near-dedup")
     d = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("node", F.xxhash64("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
@@ -297,22 +297,24 @@ def near_duplicates(
     degrees, roots = links(nodes, d.select("node", "text"), similarity, keep, shingle, weights)
     named = keep.put(nodes.drop("bands", "size").join(roots, "node", "left").join(degrees, "node", "left").withColumn("root", F.coalesce("root", "node")))
     classes = named.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"))
-    known = keep.put(named.join(classes, "root").select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    return keep.close(base.select("doc_id", "node").join(known, "node").select("doc_id", "node", "class_id", "class_size", "n_links"))
+    known = keep.put(named.join(classes, "root").select("node", "root", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    return keep.close(base.select("doc_id", "node").join(known, "node").select("doc_id", "node", "root", "class_id", "class_size", "n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs with all columns; of each class one row stays, of the smallest id (of rows alike in id and text: one)."""
+    """The rows of docs with all columns; of each class one row stays, of the smallest id, a null one last (of rows alike in id and text: one)."""
     from pyspark.sql import Window
 
-    kept = cut(near_duplicates(docs, id_col, text_col, **options).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("node").alias("__node")))
+    # ids may be null or repeated, so the root tells classes apart
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("node").alias("node"))).alias("first")
+    kept = cut(near_duplicates(docs, id_col, text_col, **options).groupBy("root").agg(first).select(F.col("first.id").alias("__class"), F.col("first.node").alias("__kept")))
     own = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     # the id decides together with the text, so that a group of copies meets in no task
     marked = docs.withColumn("__node", own).withColumn("__id", F.col(f"`{id_col}`"))
-    one = marked.join(kept.select(F.col("class_id").alias("__class"), F.col("__node").alias("__kept")), F.col("__id").eqNullSafe(F.col("__class")) & (F.col("__node") == F.col("__kept")))
+    one = marked.join(kept, F.col("__id").eqNullSafe(F.col("__class")) & (F.col("__node") == F.col("__kept")))
     nth = F.row_number().over(Window.partitionBy("__id", "__node").orderBy("__id"))
     return one.withColumn("__nth", nth).where("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("node")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("node", "root")

@@ -167,6 +167,15 @@ def test_link_counts(spark, monkeypatch, block, weights):
     assert {x.doc_id: x.n_links for x in got.collect()} == {i: want[i] for i in range(len(texts))}
 
 
+def test_classes_without_ids_of_their_own(docs, spark):
+    """Null and repeated ids do not make one class of several."""
+    kept = near_dedup.drop_near_duplicates(docs).collect()
+    assert Counter(r.text[:5] for r in kept if r.doc_id in (None, 7)) == Counter(["no id", "twice", TEXTS[7][1][:5]])
+    rows = [(None, f"text {i}") for i in range(30)] + [(1, f"other {i}") for i in range(30)] + [(None, BASE), (3, " ".join(NEAR))]
+    kept = near_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in kept) == sorted(t for _, t in rows if t != BASE)
+
+
 def test_signatures():
     same, n, size = [], 40, 60
     for k in range(n):
