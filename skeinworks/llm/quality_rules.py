@@ -20,8 +20,6 @@ BUCKETS = 8192
 #: Added to each cell, as a share of an even spread of the trusted mass.
 SMOOTH = 0.05
 THRESHOLD = -0.35
-#: The target multinomial is learned from so many trusted ids at most, those of smallest hash: that is what may be broadcast.
-MAX_TRUSTED = 20_000
 SPACE = r"[\x20\x09-\x0D]+"
 GRAM = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]+"
 
@@ -102,11 +100,23 @@ def rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, id_
     )
 
 
+def labelled(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of all rows of docs, a table of Parquet files, whose doc_id is in ids.
+
+    Ids meet ids only. What comes back to the texts is one bit a row, as longs of 64 neighbouring rows of a file, small enough to be
+    broadcast; so no text is shuffled.
+    """
+    place = lambda d, *cols: d.select(*cols, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    word, bit = F.expr("at DIV 64"), F.expr("shiftleft(1L, CAST(at % 64 AS INT))")
+    good = place(docs, "doc_id").join(ids.where("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi")
+    bits = good.groupBy("file", word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    rows = place(docs, "text").withColumn("word", word).join(F.broadcast(bits), ["file", "word"])
+    return rows.where(F.col("bits").bitwiseAND(bit) != 0).select("text")
+
+
 def trusted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts that the labels call good and not toxic: of MAX_TRUSTED ids at most, so that no text is shuffled to meet its label."""
-    good = table(spark, sf_dir, "labels").where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    chosen = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRUSTED)
-    return pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id", "left_semi")
+    """All texts that the labels call good and not toxic."""
+    return labelled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id"))
 
 
 def op3_ngram_llr(spark: SparkSession, sf_dir: str) -> DataFrame:

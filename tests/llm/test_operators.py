@@ -84,6 +84,16 @@ def test_quality_rules(docs, none):
     assert quality_rules.rules(none, none).count() == 0
 
 
+def test_every_trusted_text_counts(spark, tmp_path):
+    n = 20_500
+    rows = [(i, f"text {i}") for i in range(n)] + [(5, "again"), (None, "no id"), (n, "bad"), (n + 1, "toxic"), (n + 2, None)]
+    labels = [(i, 1, None) for i in range(n)] + [(3, 1, 0), (None, 1, 0), (n, 0, 0), (n + 1, 1, 1), (n + 2, 1, 0), (n + 9, 1, 0)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = Counter(r.text for r in quality_rules.trusted_texts(spark, str(tmp_path)).collect())
+    assert got == Counter([t for i, t in rows if i is not None and i not in (n, n + 1)])
+
+
 def test_range_coder(spark, docs, tmp_path):
     for n in (0, 1, 99, 1000):
         ids = np.array(R.choices([0, 1, 2, 7, 65535], k=n), np.int64)
