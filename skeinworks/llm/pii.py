@@ -1,9 +1,9 @@
 """Personal data: patterns, and information-theoretic sanitisation of the terms that give a protected entity away.
 
-Entities are the values that four patterns find (email, ip, card, phone). Terms are the words within WINDOW words of a
-mention. Over the whole corpus, a term's disclosure of an entity is PMI(entity; term) / IC(entity), with document counts:
+Entities are the values that four patterns find (email, ip, card, phone). Terms are the words anywhere in a text that
+mentions one. Over the whole corpus, a term's disclosure of an entity is PMI(entity; term) / IC(entity), with document counts:
 log(n(e,t) N / (n(e) n(t))) / log(N / n(e)). It is 1 where the term occurs with that entity only. Terms from DISCLOSURE
-on are marked wherever they stand near that entity, and in a rewritten text give way to a general class; patterns give way
+on are marked wherever they stand in a text with that entity, and in a rewritten text give way to a general class; patterns give way
 to their kind.
 
 Null and empty texts have no spans; repeated rows and ids each have their own. Offsets are code points, ends exclusive.
@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ from ._common import U64, cut, gather, hashes, pick, spread, strings, table, wor
 from .decontamination import SIGNS
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, DISCLOSURE = 6, 0.9
+DISCLOSURE = 0.9
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -78,26 +80,21 @@ def find(text: str) -> list[tuple[str, int, int, str]]:
     return out
 
 
-def _terms(text: str, spans: list[tuple[str, int, int, str]], window: int) -> list[tuple[int, int, int, int]]:
-    """entity, term, start, end of each word near a mention that lies in no span."""
-    ws = [m.span() for m in _WORD.finditer(text)]
-    starts, ends = [a for a, _ in ws], [b for _, b in ws]
-    taken = sorted((a, b) for _, a, b, _ in spans)
-    from bisect import bisect_left, bisect_right
-
+def _terms(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """term, start, end of each word that lies in no span."""
+    taken = sorted(spans)
     first = [a for a, _ in taken]
     # spans of different kinds may nest: the largest end so far tells
-    reach = np.maximum.accumulate([b for _, b in taken]).tolist()
-    out = []
-    for kind, a, b, value in spans:
-        entity = _signed(xxhash.xxh64_intdigest(f"{kind}:{value}"))
-        lo, hi = bisect_right(ends, a), bisect_left(starts, b)
-        for i in (*range(max(0, lo - window), lo), *range(hi, min(len(ws), hi + window))):
-            m = _BARE.search(text, *ws[i])
-            if m and len(m[0]) > 1 and _LETTER.search(m[0]):
-                k = bisect_left(first, m.end())
-                if not (k and reach[k - 1] > m.start()):
-                    out.append((entity, _signed(xxhash.xxh64_intdigest(m[0].lower())), m.start(), m.end()))
+    reach = np.maximum.accumulate([b for _, b in taken]).tolist() if taken else []
+    out, seen = [], {}
+    for w in _WORD.finditer(text):
+        m = _BARE.search(text, *w.span())
+        if m and len(m[0]) > 1 and _LETTER.search(m[0]):
+            k = bisect_left(first, m.end())
+            if not (k and reach[k - 1] > m.start()):
+                if (term := seen.get(m[0])) is None:
+                    term = seen[m[0]] = _signed(xxhash.xxh64_intdigest(m[0].lower()))
+                out.append((term, m.start(), m.end()))
     return out
 
 
@@ -106,36 +103,57 @@ def _signed(x: int) -> int:
 
 
 _SPAN = "struct<kind:string,start:bigint,stop:bigint>"
-_TERM = "struct<entity:bigint,term:bigint,start:bigint,stop:bigint>"
 
 
-def _scanner(window: int):
+def _scanner():
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
-    term = pa.list_(pa.struct([(c, pa.int64()) for c in ("entity", "term", "start", "stop")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         rid = TaskContext.get().partitionId() << 40
         for b in gather(batches):
-            spans, terms, shas, entities = [], [], [], []
+            spans, shas, entities, packed = [], [], [], []
             for text in b.column("text").to_pylist():
                 found = find(text or "")
                 spans.append([{"kind": k, "start": a, "stop": z} for k, a, z, _ in found])
                 shas.append(hashlib.sha256(",".join(f"{k}:{a}:{z}" for k, a, z, _ in found).encode()).hexdigest())
-                near = _terms(text, found, window) if found else []
-                terms.append([dict(zip(("entity", "term", "start", "stop"), x, strict=True)) for x in near])
                 entities.append(sorted({_signed(xxhash.xxh64_intdigest(f"{k}:{v}")) for k, _, _, v in found}))
+                packed.append(zlib.compress(text.encode(), 1) if found else None)
             rids = pa.array(np.arange(rid, rid + b.num_rows))
             rid += b.num_rows
             yield pa.RecordBatch.from_arrays(
-                [rids, b.column("doc_id"), pa.array(spans, span), pa.array(shas), pa.array(terms, term), pa.array(entities, pa.list_(pa.int64()))],
-                names=["rid", "doc_id", "spans", "sha", "terms", "entities"],
+                [rids, b.column("doc_id"), pa.array(spans, span), pa.array(shas), pa.array(entities, pa.list_(pa.int64())), pa.array(packed, pa.binary())],
+                names=["rid", "doc_id", "spans", "sha", "entities", "packed"],
             )
 
     return run
 
 
+def _spans_of(b: pa.RecordBatch) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    for packed, found in zip(b.column("packed"), b.column("spans"), strict=True):
+        yield zlib.decompress(packed.as_py()).decode(), [(x["start"], x["stop"]) for x in found.as_py()]
+
+
+def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """rid and each distinct term of its text."""
+    for b in batches:
+        for i, (text, found) in enumerate(_spans_of(b)):
+            terms = np.array(sorted({t for t, _, _ in _terms(text, found)}), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(terms), b.column("rid")[i].as_py())), pa.array(terms)], names=["rid", "term"])
+
+
+def _marker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """rid and the places of its flagged terms."""
+    place = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    for b in batches:
+        out = []
+        for (text, found), flagged in zip(_spans_of(b), b.column("flagged").to_pylist(), strict=True):
+            held = set(flagged)
+            out.append([{"start": x, "stop": y} for t, x, y in _terms(text, found) if t in held])
+        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(out, place)], names=["rid", "extra"])
+
+
 def _term_counter(bits: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.frombuffer(bits, np.uint8)
@@ -155,23 +173,32 @@ def _term_counter(bits: bytes):
     return run
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, disclosure: float = DISCLOSURE) -> DataFrame:
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
     """rid, doc_id, base_sha256, base (pattern spans), extra (spans of disclosing terms) of every row."""
     d = pick(docs, doc_id=id_col, text=text_col)
     kind = dict(d.dtypes)["doc_id"] if "struct" not in dict(d.dtypes)["doc_id"] else d.schema["doc_id"].dataType.simpleString()
-    scan = cut(d.mapInArrow(_scanner(window), f"rid bigint, doc_id {kind}, spans array<{_SPAN}>, sha string, terms array<{_TERM}>, entities array<bigint>"))
+    scan = cut(d.mapInArrow(_scanner(), f"rid bigint, doc_id {kind}, spans array<{_SPAN}>, sha string, entities array<bigint>, packed binary"))
     total = scan.count()
-    near = scan.where(F.size("terms") > 0).select("rid", F.explode("terms").alias("t")).select("rid", "t.*")
-    joint = near.select("rid", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    entity = scan.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    bits = bloom.build(near, "term")
-    term = d.select("text").mapInArrow(_term_counter(bits), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
     n = F.lit(float(total))
+    texts = scan.where("packed IS NOT NULL").select("rid", "spans", "packed")
+    bits = bloom.build(texts.mapInArrow(_words_of, "rid bigint, term bigint"), "term")
+    term = d.select("text").mapInArrow(_term_counter(bits), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
+    own = scan.select("rid", F.explode("entities").alias("entity"))
+    entity = own.groupBy("entity").agg(F.count("*").alias("n_entity"))
     content = F.log(n / F.col("n_entity"))
+    # n_both is n_entity at most, so that a term of more texts than this discloses no such entity
+    bound = F.exp(F.log("n_entity") + content * (1 - disclosure)) * (1 + 1e-9)
+    mine = cut(own.join(entity.where(content > 0), "entity").withColumn("bound", bound))
+    widest = mine.groupBy("rid").agg(F.max("bound").alias("widest"))
+    most = widest.agg(F.max("widest")).first()[0] or 0.0
+    rare = cut(texts.mapInArrow(_words_of, "rid bigint, term bigint").join(term.where(F.col("n_term") <= most), "term").join(widest, "rid").where("n_term <= widest").select("rid", "term", "n_term"))
+    near = rare.join(mine, "rid").where("n_term <= bound")
+    joint = near.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
     pmi = F.log(F.col("n_both") * n / (F.col("n_entity") * F.greatest("n_term", "n_both")))
-    flagged = cut(joint.join(entity, "entity").join(term, "term").where((content > 0) & (pmi >= content * disclosure - 1e-12)).select("entity", "term"))
-    marked = near.join(flagged, ["entity", "term"]).groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("extra"))
-    return scan.join(marked, "rid", "left").select(
+    flagged = joint.where(pmi >= content * disclosure - 1e-12).select("entity", "term")
+    chosen = near.select("rid", "entity", "term").join(flagged, ["entity", "term"]).groupBy("rid").agg(F.collect_set("term").alias("flagged"))
+    marked = texts.join(chosen, "rid").mapInArrow(_marker, "rid bigint, extra array<struct<start:bigint,stop:bigint>>")
+    return scan.drop("packed").join(marked, "rid", "left").select(
         "rid", "doc_id", F.col("sha").alias("base_sha256"), F.col("spans").alias("base"),
         F.coalesce(F.transform("extra", lambda x: F.struct(F.lit("term").alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"))), F.array().cast(f"array<{_SPAN}>")).alias("extra"),
     )

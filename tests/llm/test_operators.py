@@ -209,6 +209,32 @@ def test_pii(docs, none):
     assert pii.sanitise(none).count() == 0
 
 
+def test_disclosure_in_whole_texts(spark):
+    """Terms far from their entity are found and marked wherever they stand; against brute force."""
+    r = random.Random(6)
+    rows = []
+    for i in range(120):
+        w = r.choices(NAMES[:60], k=80)
+        if i % 4 == 0:
+            w[40] = f"u{i % 12}@site.org"
+            w[2] = w[70] = f"Name{i % 12}"
+            w[r.choice((10, 39))] = f"Firm{i % 24}"
+        if i % 8 == 0:
+            w[60] = "10.0.0.7"
+        rows.append((i, " ".join(w)))
+    texts = dict(rows)
+    entities = {i: {(k, v) for k, _, _, v in pii.find(t)} for i, t in rows}
+    terms = {i: {x.lower() for x in t.split() if not re.search("[@.]", x)} for i, t in rows}
+    n_e, n_t = (Counter(x for s in d.values() for x in s) for d in (entities, terms))
+    both = Counter((e, t) for i in texts for e in entities[i] for t in terms[i])
+    n = len(rows)
+    flagged = {(e, t) for (e, t), k in both.items() if math.log(k * n / (n_e[e] * n_t[t])) >= 0.9 * math.log(n / n_e[e]) - 1e-12}
+    want = {i: [m.span() for m in re.finditer(r"\S+", t) if any((e, m[0].lower()) in flagged for e in entities[i])] for i, t in rows}
+    assert all(len(want[i]) >= 2 for i in want if i % 4 == 0)
+    got = pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: [(s.start, s.stop) for s in x.extra] for x in got} == want
+
+
 def test_piece_sampling(docs, none):
     got = piece_sampling.sample(docs, k=3).collect()
     assert all(r.decodes and 0 < r.inclusion <= 1 for r in got)
