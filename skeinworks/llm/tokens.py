@@ -1,22 +1,30 @@
 """Token ids of whole texts: each distinct word of a batch is encoded once.
 
 The tokenizer's rules never reach across ASCII white space, which it drops; so a text's ids are those of its words, one
-after the other. Words go to the library in long strings, parted by the special end token, which is matched before all
-else; the few words that hold a special token's own name go one by one.
+after the other. Nor do they reach from letters into signs behind them: a word of letters and closing signs is two units, and
+units of letters alone skip the rules and go to the merges at once. Units go to the library in long strings; those that hold
+a special token's own name go one by one.
 """
 
 from __future__ import annotations
 
 import functools
+import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from ._common import words
 
+# a task has one core; the library's own threads would only contend
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 VOCABULARY = "word_bpe_49k.json"
-#: Words that a worker remembers, at most.
+#: Units that a worker remembers, at most.
 REMEMBERED = 300_000
+#: Signs that may close a word; none of them begins a contraction's rule or a special token's name.
+CLOSING = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
 
 
 @functools.lru_cache(2)
@@ -28,12 +36,46 @@ def tokenizer(path: str, literal: bool):
     return t
 
 
+@functools.lru_cache(2)
+def merger(path: str):
+    """The tokenizer without its splitting rules: for words of letters only, parted by spaces."""
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    t = Tokenizer.from_file(path)
+    t.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+    t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return t
+
+
+def _of_letters(units: pa.Array) -> np.ndarray:
+    """Units of letters only that stay so in lower case and in the composed form."""
+    alpha = pc.utf8_is_alpha(units).to_numpy(zero_copy_only=False)
+    wide = np.flatnonzero(alpha & ~pc.string_is_ascii(units).to_numpy(zero_copy_only=False))
+    if len(wide):
+        some = units.take(pa.array(wide))
+        same = pc.and_(pc.equal(pc.utf8_normalize(some, "NFC"), some), pc.invert(pc.match_substring(some, "\u0130")))
+        alpha = alpha.copy()
+        alpha[wide] = same.to_numpy(zero_copy_only=False)
+    return alpha
+
+
 def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def _behind(whole: pa.Array, bare: pa.Array, cut: pa.Array) -> pa.Array:
+    """What stands in each whole string behind its bare one; empty where it was not cut."""
+    size, kept = (pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (whole, bare))
+    ends = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset + 1 : whole.offset + len(whole) + 1]
+    many = np.where(cut.to_numpy(zero_copy_only=False), size - kept, 0)
+    to = np.cumsum(many)
+    at = np.repeat(ends - to, many) + np.arange(to[-1] if len(to) else 0)
+    data = np.frombuffer(whole.buffers()[2], np.uint8)[at] if len(at) else np.empty(0, np.uint8)
+    return pa.LargeStringArray.from_buffers(len(whole), pa.py_buffer(np.concatenate(([0], to)).astype(np.int64)), pa.py_buffer(data))
+
+
 class Encoder:
     """literal: names of special tokens in a text are ordinary text, so that no text holds the end's id."""
 
@@ -41,16 +83,29 @@ class Encoder:
         self.path, self.literal, self.end = path, literal, end
         self.plain = tokenizer(path, False)
         self.end_id = self.plain.token_to_id(end)
+        self.closes = np.array([(self.plain.id_to_token(i) or "").endswith("</w>") for i in range(self.plain.get_vocab_size())])
         self.forget()
 
     def forget(self) -> None:
         self.at: dict[str, int] = {}
-        self.ids, self.starts, self.sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        self.total = 0
-
-    def _learn(self, new: list[str]) -> None:
-        odd = [w for w in new if "<|" in w]
-        even = [w for w in new if "<|" not in w] if odd else new
+        # the empty unit has no ids
+        self.ids, self.starts, self.sizes = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        self.at[""], self.total = 0, 0
+
+    def _learn(self, new: pa.Array) -> None:
+        plain = _of_letters(new)
+        letters = new.filter(pa.array(plain))
+        for i in range(0, len(letters), 100_000):
+            part = letters.slice(i, 100_000).to_pylist()
+            # a word's last piece ends it, which tells the words apart
+            got = merger(self.path).encode_batch_fast([" ".join(part[j : j + 500]) for j in range(0, len(part), 500)], add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in got])
+            ends = np.flatnonzero(self.closes[ids])
+            assert len(ends) == len(part)
+            self._keep(part, ids, np.diff(ends, prepend=-1))
+        rest = new.filter(pa.array(~plain)).to_pylist()
+        odd = [w for w in rest if "<|" in w]
+        even = [w for w in rest if "<|" not in w] if odd else rest
         for i in range(0, len(even), 2000):
             part = even[i : i + 2000]
             step = 100
@@ -72,23 +127,35 @@ class Encoder:
         self.sizes.append(sizes.astype(np.int64))
         self.total += len(ids)
 
+    def _units(self, units: pa.Array) -> np.ndarray:
+        """The number of each distinct unit, learned if new."""
+        ws = units.to_pylist()
+        known = np.fromiter((self.at.get(w, -1) for w in ws), np.int64, len(ws))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            self._learn(units.take(pa.array(new)))
+            known[new] = [self.at[ws[i]] for i in new.tolist()]
+        return known
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (one more at the end)."""
         offsets, codes, distinct = words(texts)
-        ws = distinct.to_pylist()
+        if not len(codes):
+            return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         if len(self.at) > REMEMBERED:
             self.forget()
-        new = [w for w in ws if w and w not in self.at]
-        if new:
-            self._learn(new)
+        # letters and the signs behind them; any other word is a unit with nothing behind it
+        bare = pc.utf8_rtrim(distinct, CLOSING)
+        cut = pa.array(_of_letters(bare))
+        first = pc.if_else(cut, bare, distinct).dictionary_encode()
+        rest = _behind(distinct, bare, cut).dictionary_encode()
+        one, two = self._units(first.dictionary), self._units(rest.dictionary)
         self.ids, self.starts, self.sizes = ([np.concatenate(x)] for x in (self.ids, self.starts, self.sizes))
-        if not len(codes):
-            return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        where = np.fromiter((self.at.get(w, 0) for w in ws), np.int64, len(ws))[codes]
-        size, start = self.sizes[0][where], self.starts[0][where]
+        pair = np.stack((one[first.indices.to_numpy()], two[rest.indices.to_numpy()]), 1)[codes].reshape(-1)
+        size, start = self.sizes[0][pair], self.starts[0][pair]
         ends = np.cumsum(size)
         ids = self.ids[0][np.repeat(start - ends + size, size) + np.arange(ends[-1])]
-        return ids, np.concatenate(([0], ends))[offsets]
+        return ids, np.concatenate(([0], ends))[2 * offsets]
 
 
 def with_ends(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
