@@ -1,16 +1,22 @@
 """Token files by an adaptive context-mixing range coder, in independently reset, checksummed blocks.
 
-A block is BLOCK ids. Its model starts empty: tables tell which id last followed the same two ids (order 2), the same
-id (order 1), and which id came most often (order 0). One symbol says which order's prediction is right, or none; its frequencies
-are the sum of three adaptive tables, chosen by the confidence of order 2, by that of order 1, and by which of the
-predictions agree. Without a hit the id's length in bits follows from an adaptive table, then its lower bits. A
-range coder with 16-bit renormalisation codes all that. Every step is integer arithmetic, so that any machine decodes the same.
+A block is up to BLOCK ids (fewer in small files, so that a file always has many blocks). Its model starts empty: tables tell
+which id last followed the same two ids (order 2), the same id (order 1), each with its confidence, and which id came most often
+(order 0). One symbol says which order's prediction is right, or none; its frequencies are the sum of three adaptive
+tables, chosen by the confidence of order 2, by that of order 1, and by which of the predictions agree. Without a hit the id's
+length in bits follows, by the lengths met so far in the block, then its lower bits. A range coder with a range of 32 to
+48 bits and words of 16 codes all that. Every number is an integer below 2**53, so that any machine's doubles hold it exactly.
 
-Numpy steps through up to LANES blocks at once, an id of each at a time; blocks stay independent of each other.
+Numpy steps through up to LANES blocks at once, an id of each at a time; blocks stay independent of each other. The four
+frequencies of a table's row stand in one 64-bit integer: rows add as integers, and one product gives the running sums.
 
 File: magic, number of texts, ids of texts (with a mark for null), their numbers of tokens, blocks; then for each block its
 number of tokens, of 16-bit words and the crc32 of its ids; then the words. Every part is little-endian; a header crc32 closes
 the head. A wrong checksum raises ValueError.
+
+Null and empty texts have the end id alone; null ids come first; repeated ids and rows each have their place (rows of one id in
+the order of a hash of their text). An empty table writes no file and reads as no rows. Only id and text are read, so that
+no other column can clash.
 """
 
 from __future__ import annotations
@@ -26,195 +32,209 @@ from pyspark.sql import functions as F
 from . import tokens
 from ._common import Writer, cut, gather, new_folder, open_file, pick, strings, table
 
-BLOCK, LANES, SLOTS = 4096, 2048, 1 << 12
-MAGIC = b"SKTOK001"
+BLOCK, LANES, SLOTS = 2048, 8192, 256
+MAGIC = b"SKTOK002"
 TEXT_BYTES = 24 << 20  # of a file, about
-_LIMIT = 1 << 13
+#: Text of which the ids are found at once; bounds a worker's memory.
+PIECE_BYTES = 6 << 20
+_STEP, _EVERY = 24, 128
+_FULL, _LEAST, _WORD = 2.0**48, 2.0**32, 2.0**16
+_FIELD, _SUMS, _ONES = np.uint64(0xFFFF), np.uint64(0x0001000100010001), np.uint64(0x0001000100010001)
+_GROWN = np.array([_STEP << (16 * i) for i in range(4)], np.uint64)
+_BITS = np.concatenate(([0], np.frexp(np.arange(1, 1 << 16).astype(np.float64))[1])).astype(np.int64)
+_LOW = np.maximum(np.arange(17) - 1, 0)
+_PARTS = 2.0**_LOW
 
 
 class _Model:
     """The state of n blocks; encoder and decoder take the same steps."""
 
     def __init__(self, n: int):
-        self.n = n
-        self.lane = np.arange(n)
-        self.next2, self.sure2 = np.full(n * SLOTS, -1, np.int32), np.zeros(n * SLOTS, np.int8)
-        self.next1, self.sure1 = np.full(n * SLOTS, -1, np.int32), np.zeros(n * SLOTS, np.int8)
-        self.seen, self.best, self.most = np.zeros(n * SLOTS, np.uint16), np.full(n, -1, np.int32), np.zeros(n, np.int64)
-        self.p1, self.p2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.f = [np.ones((n * 4, 4), np.int32), np.ones((n * 4, 4), np.int32), np.ones((n * 8, 4), np.int32)]
-        self.f[2][:, 3] += 4
-        self.width = np.ones((n, 17), np.int32)
-
-    def predict(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of the first k lanes: the three predictions, and the frequencies of the four symbols."""
-        lane, p1, p2 = self.lane[:k], self.p1[:k], self.p2[:k]
-        self.s2 = lane * SLOTS + ((p1 * 40503 + p2 * 60493) >> 4) % SLOTS
-        self.s1 = lane * SLOTS + (p1 * 40503 >> 4) % SLOTS
-        a, b, c = self.next2[self.s2], self.next1[self.s1], self.best[:k]
-        agree = (a == b) * 1 + (b == c) * 2 + (a == c) * 4
-        self.rows = (lane * 4 + self.sure2[self.s2], lane * 4 + self.sure1[self.s1], lane * 8 + agree)
-        self.guess = np.stack((a, b, c), 1)
-        return self.guess, self.f[0][self.rows[0]] + self.f[1][self.rows[1]] + self.f[2][self.rows[2]]
+        lane = np.arange(n)
+        self.base, self.lane4, self.lane8, self.lane17 = lane * SLOTS, lane * 4, lane * 8, lane * 17
+        # an entry: the id, and above it the confidence, 0 to 3
+        self.two, self.one = np.zeros(n * SLOTS, np.uint32), np.zeros(n * SLOTS, np.uint32)
+        self.seen, self.best, self.most = np.zeros(n * SLOTS, np.uint16), np.zeros(n, np.uint32), np.zeros(n, np.uint16)
+        self.f2, self.f1, self.f0 = np.full(n * 4, _ONES), np.full(n * 4, _ONES), np.full(n * 8, _ONES + np.uint64(4 << 48))
+        self.s1, self.s2 = self.base.copy(), self.base.copy()
+        self.mixed = np.zeros(n, np.uint32)
+        self.lengths = np.ones((n, 17), np.int64)
+        self.n, self.t = n, 0
+
+    def predict(self, k: int) -> None:
+        """Of the first k lanes: the three predictions, and the frequencies of the four symbols with their running sums."""
+        if not self.t & (_EVERY - 1) and self.t:
+            for f in (self.f2, self.f1, self.f0):
+                np.right_shift(f, np.uint64(1), out=f)
+                f &= np.uint64(0x7FFF7FFF7FFF7FFF)
+                f |= _ONES
+        if not self.t & 63 or self.t in (8, 16, 32):
+            self._spread_lengths()
+        self.t += 1
+        self.e2, self.e1 = self.two[self.s2[:k]], self.one[self.s1[:k]]
+        self.a, self.b, self.c = self.e2 & np.uint32(0xFFFF), self.e1 & np.uint32(0xFFFF), self.best[:k]
+        agree = (self.a == self.b).view(np.int8) + (self.b == self.c).view(np.int8) * np.int8(2) + (self.a == self.c).view(np.int8) * np.int8(4)
+        self.r2, self.r1, self.r0 = self.lane4[:k] + (self.e2 >> np.uint32(16)), self.lane4[:k] + (self.e1 >> np.uint32(16)), self.lane8[:k] + agree
+        self.g2, self.g1, self.g0 = self.f2[self.r2], self.f1[self.r1], self.f0[self.r0]
+        self.freq = self.g2 + self.g1 + self.g0
+        self.sums = self.freq * _SUMS
 
     def learn(self, k: int, ids: np.ndarray, symbol: np.ndarray) -> None:
-        for f, row in zip(self.f, self.rows, strict=True):
-            f[row, symbol] += 24
-            big = row[f[row, symbol] > _LIMIT // 4]
-            if len(big):
-                f[big] = (f[big] >> 1) | 1
-        for guess, table_, sure, slot in ((self.guess[:, 0], self.next2, self.sure2, self.s2), (self.guess[:, 1], self.next1, self.sure1, self.s1)):
-            hit = guess == ids
-            was = sure[slot]
-            sure[slot] = np.where(hit, np.minimum(was + 1, 3), was >> 1)
-            table_[slot] = np.where(hit | (was == 0), ids, guess)
-        slot = self.lane[:k] * SLOTS + ids % SLOTS
-        n = self.seen[slot] + np.uint16(1)
-        self.seen[slot] = n
-        lead = n > self.most[:k]
-        self.best[:k] = np.where(lead, ids, self.best[:k])
-        self.most[:k] = np.maximum(self.most[:k], n)
-        self.p2[:k], self.p1[:k] = self.p1[:k], ids
-
-    def learn_width(self, lanes: np.ndarray, width: np.ndarray) -> None:
-        self.width[lanes, width] += 24
-        big = lanes[self.width[lanes, width] > _LIMIT // 4]
-        if len(big):
-            self.width[big] = (self.width[big] >> 1) | 1
-
-
-def _bits(ids: np.ndarray) -> np.ndarray:
-    return np.where(ids > 0, np.frexp(ids.astype(np.float64))[1], 0)  # exact below 2**53
+        more = _GROWN[symbol]
+        self.f2[self.r2], self.f1[self.r1], self.f0[self.r0] = self.g2 + more, self.g1 + more, self.g0 + more
+        for entry, guess, table_, slot in ((self.e2, self.a, self.two, self.s2[:k]), (self.e1, self.b, self.one, self.s1[:k])):
+            sure = np.minimum(entry + np.uint32(1 << 16), guess + np.uint32(3 << 16))
+            table_[slot] = np.where(guess == ids, sure, np.where(entry < 1 << 16, ids, entry - np.uint32(1 << 16)))
+        mixed = ids * np.uint32(2654435761)
+        one = self.base[:k] + (mixed >> np.uint32(24))
+        n = self.seen[one] + np.uint16(1)
+        self.seen[one] = n
+        np.copyto(self.best[:k], ids, where=n > self.most[:k])
+        np.maximum(self.most[:k], n, out=self.most[:k])
+        self.s2[:k] = self.base[:k] + ((mixed + (self.mixed[:k] >> np.uint32(5))) * np.uint32(2246822519) >> np.uint32(24))
+        self.s1[:k], self.mixed[:k] = one, mixed
+
+    def _spread_lengths(self) -> None:
+        """256 parts dealt out by the lengths met so far, one to each at least."""
+        f = 1 + self.lengths * 239 // self.lengths.sum(1, keepdims=True)
+        top = self.lengths.argmax(1)
+        f[np.arange(self.n), top] += 256 - f.sum(1)
+        self.length_of = np.repeat(np.tile(np.arange(17, dtype=np.uint8), self.n), f.reshape(-1))
+        self.part, self.parts = (np.cumsum(f, axis=1) - f).astype(np.float64).reshape(-1), f.astype(np.float64).reshape(-1)
+
+    def learn_length(self, at: np.ndarray) -> None:
+        self.lengths.reshape(-1)[at] += 1
 
 
 class _Out:
-    def __init__(self, n: int, words: int):
-        self.low, self.range = np.zeros(n, np.int64), np.full(n, 1 << 32, np.int64)
-        self.words, self.at = np.zeros((n, words), np.int32), np.zeros(n, np.int64)
-
-    def put(self, lanes, start, freq, total) -> None:
-        r = self.range[lanes] // total
-        self._set(lanes, self.low[lanes] + r * start, r * freq)
-
-    def raw(self, lanes, value, bits) -> None:
-        r = self.range[lanes] >> bits
-        self._set(lanes, self.low[lanes] + r * value, r)
-
-    def _set(self, lanes, low, range_) -> None:
-        short = range_ < 1 << 16
-        if short.any():
-            at = (np.arange(self.low.size)[lanes] if isinstance(lanes, slice) else lanes)[short]
-            self.words[at, self.at[at]] = low[short] >> 16  # 17 bits: the carry goes up at the end
-            self.at[at] += 1
-            low[short] = (low[short] & 0xFFFF) << 16
-            range_[short] <<= 16
-        self.low[lanes], self.range[lanes] = low, range_
+    def __init__(self, n: int):
+        self.low, self.range = np.zeros(n), np.full(n, _FULL)
+        self.lanes, self.words = [], []
+
+    def shift(self) -> None:
+        """Puts out a word of each lane whose range is short, until none is."""
+        while len(at := np.flatnonzero(self.range < _LEAST)):
+            low = self.low[at]
+            word = np.floor(low / _LEAST)  # 17 bits: the carry goes up at the end
+            self.lanes.append(at.astype(np.uint16))
+            self.words.append(word.astype(np.int32))
+            self.low[at], self.range[at] = (low - word * _LEAST) * _WORD, self.range[at] * _WORD
 
     def close(self) -> list[np.ndarray]:
-        for _ in range(2):
-            self.words[np.arange(len(self.at)), self.at] = self.low >> 16
-            self.low = (self.low & 0xFFFF) << 16
-            self.at += 1
-        for k in range(int(self.at.max()) - 1, 0, -1):
-            self.words[:, k - 1] += self.words[:, k] >> 16
-        return [w[:n].astype("<u2") for w, n in zip(self.words, self.at, strict=True)]
+        n = len(self.low)
+        for _ in range(3):
+            self.range[:] = 1
+            word = np.floor(self.low / _LEAST)
+            self.lanes.append(np.arange(n).astype(np.uint16))
+            self.words.append(word.astype(np.int32))
+            self.low = (self.low - word * _LEAST) * _WORD
+        lanes, words = np.concatenate(self.lanes), np.concatenate(self.words)
+        self.lanes, self.words = [], []
+        words = words[np.argsort(lanes, kind="stable")]
+        while (carry := words >> 16).any():  # a lane's first word has none
+            words &= 0xFFFF
+            words[:-1] += carry[1:]
+        return np.split(words.astype("<u2"), np.cumsum(np.bincount(lanes, minlength=n))[:-1])
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[np.ndarray]:
     """The 16-bit words of each block of the ids (below 65536), LANES blocks at a time."""
     out = []
     for at in range(0, len(ids), block * LANES):
-        out += _encode(ids[at : at + block * LANES].astype(np.int64), block)
+        out += _encode(ids[at : at + block * LANES], block)
     return out
 
 
 def _encode(ids: np.ndarray, block: int) -> list[np.ndarray]:
     n = -(-len(ids) // block)
-    whole = np.zeros(n * block, np.int64)
+    whole = np.zeros(n * block, np.uint16)
     whole[: len(ids)] = ids
     steps = np.ascontiguousarray(whole.reshape(n, block).T)
     last = len(ids) - (n - 1) * block
-    model, out = _Model(n), _Out(n, min(block, len(ids)) * 3 + 4)
+    m, out = _Model(n), _Out(n)
     for t in range(min(block, len(ids))):
         k = n if t < last else n - 1
-        x = steps[t, :k]
-        guess, f = model.predict(k)
-        hit = guess == x[:, None]
-        symbol = np.where(hit[:, 0], 0, np.where(hit[:, 1], 1, np.where(hit[:, 2], 2, 3)))
-        sums = np.cumsum(f, axis=1)
-        own = f[model.lane[:k], symbol]
-        out.put(slice(0, k), sums[model.lane[:k], symbol] - own, own, sums[:, 3])
+        x = steps[t, :k].astype(np.uint32)
+        m.predict(k)
+        symbol = np.where(m.a == x, 0, np.where(m.b == x, 1, np.where(m.c == x, 2, 3)))
+        at = (symbol << 4).astype(np.uint64)
+        freq = (m.freq >> at) & _FIELD
+        r = np.floor(out.range[:k] / (m.sums >> np.uint64(48)))
+        out.low[:k] += r * (((m.sums >> at) & _FIELD) - freq)
+        out.range[:k] = r * freq
+        out.shift()
         miss = np.flatnonzero(symbol == 3)
         if len(miss):
-            y = x[miss]
-            w = _bits(y)
-            f = model.width[miss]
-            sums = np.cumsum(f, axis=1)
-            row = np.arange(len(miss))
-            own = f[row, w]
-            out.put(miss, sums[row, w] - own, own, sums[:, 16])
-            low = np.maximum(w - 1, 0)
-            out.raw(miss, y & ((1 << low) - 1), low)
-            model.learn_width(miss, w)
-        model.learn(k, x, symbol)
+            y = x[miss].astype(np.int64)
+            length = _BITS[y]
+            row = m.lane17[miss] + length
+            r = np.floor(out.range[miss] / 256)
+            low = out.low[miss] + r * m.part[row]
+            r = np.floor(r * m.parts[row] / _PARTS[length])
+            out.low[miss] = low + r * (y & ((1 << _LOW[length]) - 1))
+            out.range[miss] = r
+            out.shift()
+            m.learn_length(row)
+        m.learn(k, x, symbol)
     return out.close()
 
 
-def decode_blocks(words_: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
-    """The ids of blocks, all but the last as long as the first."""
-    out = []
+def decode_blocks(words_: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ids of blocks, all but the last as long as the first, from all their words and how many each has."""
+    out, ends = [np.empty(0, np.uint16)], np.concatenate(([0], np.cumsum(lengths)))
     for at in range(0, len(sizes), LANES):
-        out.append(_decode(words_[at : at + LANES], sizes[at : at + LANES]))
-    return np.concatenate(out) if out else np.empty(0, np.int64)
+        to = min(at + LANES, len(sizes))
+        out.append(_decode(words_[ends[at] : ends[to]], ends[at:to] - ends[at], sizes[at:to]))
+    return np.concatenate(out)
 
 
-def _decode(words_: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+def _decode(words_: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     n, block = len(sizes), int(sizes[0])
-    code_words = np.zeros((n, max(map(len, words_)) + 2), np.int64)
-    for row, w in zip(code_words, words_, strict=True):
-        row[: len(w)] = w
-    code, range_, at = (code_words[:, 0] << 16) | code_words[:, 1], np.full(n, 1 << 32, np.int64), np.full(n, 2)
-    model, steps = _Model(n), np.zeros((block, n), np.int64)
-
-    def move(lanes, start, r, freq) -> None:
-        c, g = code[lanes] - start * r, r * freq
-        short = g < 1 << 16
-        if short.any():
-            where = (model.lane[lanes] if isinstance(lanes, slice) else lanes)[short]
-            c[short] = (c[short] << 16) | code_words[where, np.minimum(at[where], code_words.shape[1] - 1)]
-            at[where] += 1
-            g[short] <<= 16
-        code[lanes], range_[lanes] = c, g
-
+    words = np.concatenate((words_, np.zeros(4, "<u2"))).astype(np.float64)  # a damaged block may read on
+    at, range_ = first.astype(np.int64), np.full(n, _FULL)
+    code = np.zeros(n)
+    for _ in range(3):
+        code, at = code * _WORD + words[np.minimum(at, len(words) - 1)], at + 1
+
+    def shift() -> None:
+        for _ in range(4):  # a damaged block may have a range of 0
+            short = np.flatnonzero(range_ < _LEAST)
+            if not len(short):
+                return
+            code[short] = code[short] * _WORD + words[np.minimum(at[short], len(words) - 1)]
+            range_[short] *= _WORD
+            at[short] += 1
+
+    m, steps = _Model(n), np.zeros((block, n), np.uint16)
     for t in range(block):
         k = n if t < sizes[-1] else n - 1
-        every = slice(0, k)
-        guess, f = model.predict(k)
-        sums = np.cumsum(f, axis=1)
-        r = range_[every] // sums[:, 3]
-        v = np.minimum(code[every] // r, sums[:, 3] - 1)
-        symbol = (v[:, None] >= sums[:, :3]).sum(1)
-        own = f[model.lane[:k], symbol]
-        move(every, sums[model.lane[:k], symbol] - own, r, own)
-        x = guess[model.lane[:k], np.minimum(symbol, 2)].astype(np.int64)
+        m.predict(k)
+        total = m.sums >> np.uint64(48)
+        r = np.floor(range_[:k] / total)
+        v = np.floor(code[:k] / r)
+        s0, s1, s2 = (m.sums >> np.uint64(16 * i) & _FIELD for i in range(3))
+        symbol = (v >= s0).view(np.int8) + (v >= s1).view(np.int8) + (v >= s2).view(np.int8)
+        place = symbol.astype(np.uint64) << np.uint64(4)
+        freq = (m.freq >> place) & _FIELD
+        code[:k] -= r * (((m.sums >> place) & _FIELD) - freq)
+        range_[:k] = r * freq
+        shift()
+        x = np.where(symbol == 0, m.a, np.where(symbol == 1, m.b, m.c))
         miss = np.flatnonzero(symbol == 3)
         if len(miss):
-            f = model.width[miss]
-            sums = np.cumsum(f, axis=1)
-            r = range_[miss] // sums[:, 16]
-            v = np.minimum(code[miss] // r, sums[:, 16] - 1)
-            w = (v[:, None] >= sums[:, :16]).sum(1)
-            row = np.arange(len(miss))
-            own = f[row, w]
-            move(miss, sums[row, w] - own, r, own)
-            low = np.maximum(w - 1, 0)
-            r = range_[miss] >> low
-            y = np.minimum(code[miss] // r, (1 << low) - 1)
-            move(miss, y, r, np.ones(len(miss), np.int64))
-            x[miss] = np.where(w > 0, y | (1 << low), 0)
-            model.learn_width(miss, w)
+            r = np.floor(range_[miss] / 256)
+            part = np.clip(np.floor(code[miss] / r), 0, 255).astype(np.int64)
+            length = m.length_of[m.base[miss] + part].astype(np.int64)
+            row = m.lane17[miss] + length
+            rest = code[miss] - r * m.part[row]
+            r = np.floor(r * m.parts[row] / _PARTS[length])
+            y = np.clip(np.floor(rest / r), 0, _PARTS[length] - 1)
+            code[miss], range_[miss] = rest - r * y, r
+            shift()
+            x[miss] = np.where(length > 0, y + _PARTS[length], 0)
+            m.learn_length(row)
         steps[t, :k] = x
-        model.learn(k, x, symbol)
+        m.learn(k, x, symbol)
     return steps.T.reshape(-1)[: int(sizes.sum())]
 
 
@@ -222,8 +242,14 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def pack(doc_ids: list, sizes: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
+def block_size(n: int) -> int:
+    """The length of the blocks of a file of n ids: small files have shorter blocks, rather than few."""
+    return int(min(BLOCK, max(128, n // 1024)))
+
+
+def pack(doc_ids: list, sizes: np.ndarray, ids: np.ndarray, block: int | None = None) -> bytes:
     """A file's bytes."""
+    block = block or block_size(len(ids))
     blocks = encode_blocks(ids, block)
     many = np.array([min(block, len(ids) - i * block) for i in range(len(blocks))], "<u4")
     head = b"".join([
@@ -246,8 +272,8 @@ def unpack(data: bytes | memoryview) -> tuple[list, np.ndarray, np.ndarray]:
         parts.append(np.frombuffer(head, kind, many, at))
         at += many * np.dtype(kind).itemsize
     null, doc_ids, sizes, many, lengths, sums = parts
-    ends = 16 + size + 2 * np.cumsum(lengths.astype(np.int64))
-    ids = decode_blocks([np.frombuffer(data, "<u2", int(w), int(e - 2 * w)) for w, e in zip(lengths, ends, strict=True)], many.astype(np.int64))
+    lengths = lengths.astype(np.int64)
+    ids = decode_blocks(np.frombuffer(data, "<u2", int(lengths.sum()), 16 + size), lengths, many.astype(np.int64))
     for i in range(k):
         if crc(ids[i * block : (i + 1) * block]) != sums[i]:
             raise ValueError(f"block {i} is damaged")
@@ -259,13 +285,27 @@ def _writer(folder: str, path: str, end: int):
         from pyspark import TaskContext
 
         encoder, part = tokens.Encoder(path), TaskContext.get().partitionId()
-        for k, b in enumerate(gather(batches, size=TEXT_BYTES)):
-            ids, offsets = tokens.with_ends(*encoder.encode(strings(b.column("text"))), end)
-            name = f"ids-{part:06d}-{k:06d}.bin"
+        held: list[tuple[list, np.ndarray, np.ndarray]] = []
+        text, nth = 0, 0
+
+        def close() -> pa.RecordBatch:
+            name = f"ids-{part:06d}-{nth:06d}.bin"
+            ids = np.concatenate([x[2] for x in held])
             out = Writer(f"{folder}/{name}")
-            out.write(pack(b.column("doc_id").to_pylist(), np.diff(offsets), ids))
+            out.write(pack([i for x in held for i in x[0]], np.concatenate([x[1] for x in held]), ids))
             out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(ids)], pa.int64()), pa.array([out.size], pa.int64())], names=["file", "n", "bytes"])
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(ids)], pa.int64()), pa.array([out.size], pa.int64())], names=["file", "n", "bytes"])
+
+        for b in gather(batches, size=PIECE_BYTES):
+            texts = strings(b.column("text"))
+            ids, offsets = tokens.with_ends(*encoder.encode(texts), end)
+            held.append((b.column("doc_id").to_pylist(), np.diff(offsets), ids.astype(np.uint16)))
+            text += texts.nbytes
+            if text >= TEXT_BYTES:
+                yield close()
+                held, text, nth = [], 0, nth + 1
+        if held:
+            yield close()
 
     return run
 
@@ -276,8 +316,8 @@ def _reader(folder: str):
             for name, first in zip(b.column("file").to_pylist(), b.column("first").to_pylist(), strict=True):
                 with open_file(f"{folder}/{name}") as f:
                     doc_ids, sizes, ids = unpack(f.read())
-                raw, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(sizes)
-                crcs = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+                ends = np.cumsum(sizes)
+                crcs = [crc(ids[e - n : e]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(first + ends - sizes), pa.array(sizes), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return run

@@ -94,7 +94,7 @@ def test_every_trusted_text_counts(spark, tmp_path):
     assert got == Counter([t for i, t in rows if i is not None and i not in (n, n + 1)])
 
 
-def test_range_coder(spark, docs, tmp_path):
+def test_range_coder(spark, docs, none, tmp_path):
     for n in (0, 1, 99, 1000):
         ids = np.array(R.choices([0, 1, 2, 7, 65535], k=n), np.int64)
         sizes = np.array([n // 2, n - n // 2])
@@ -107,6 +107,8 @@ def test_range_coder(spark, docs, tmp_path):
         with pytest.raises(ValueError):
             range_coder.unpack(bytes(bad))
     folder = f"file://{tmp_path}"
+    empty = range_coder.write(none, f"{folder}/none")
+    assert empty.count() == 0 and range_coder.read(empty, f"{folder}/none").count() == 0
     got = range_coder.read(range_coder.write(docs, folder), folder).orderBy("start").collect()
     e, at = tokens.Encoder(tokens.vocabulary()), 0
     assert Counter((r.doc_id, r.ids_crc32) for r in got) == Counter((i, range_coder.crc(np.array([*e.plain.encode(t or "", add_special_tokens=False).ids, 1]))) for i, t in TEXTS)
@@ -115,6 +117,26 @@ def test_range_coder(spark, docs, tmp_path):
         at += r.n_tokens
 
 
+@pytest.mark.parametrize("block", [1, 7, 64, 2048])
+def test_blocks(block):
+    """Every block comes back: of one id, of ids that never or always repeat, of a last block that is short."""
+    r = np.random.default_rng(block)
+    for n in (1, block, block + 1, 5 * block + 3, 9000):
+        for ids in (r.integers(0, 1 << 16, n), np.zeros(n, np.int64), np.full(n, 65535), r.zipf(1.3, n) % 49000, np.arange(n) % 65536, np.tile([5, 6, 7, 5, 9], n)[:n]):
+            data = range_coder.pack([1], np.array([n]), ids, block=block)
+            assert (range_coder.unpack(data)[2] == ids).all()
+
+
+def test_damaged_blocks():
+    ids = np.random.default_rng(1).integers(0, 3000, 5000)
+    data = range_coder.pack([1], np.array([5000]), ids, block=128)
+    for at in range(900, len(data), 371):
+        bad = bytearray(data)
+        bad[at] ^= 0x55
+        with pytest.raises(ValueError):
+            range_coder.unpack(bytes(bad))
+
+
 def test_near_duplicates(docs, none):
     got = {(r.doc_id, r.node): r for r in near_dedup.near_duplicates(docs).collect()}
     by_id = {k[0]: r for k, r in got.items()}
