@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one call of a vectorised step takes at once; bounds a worker's memory.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
 
 U64 = np.uint64
 
@@ -29,8 +31,22 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in cols.items()])
 
 
+def give_back() -> None:
+    """Returns what Arrow and the C library keep for later: workers live on between tasks, and all of an executor's count at once."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def gather(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Joins small batches and splits large ones, so that each holds about `size` bytes of text or one row."""
+    try:
+        yield from _gathered(batches, text, size)
+    finally:
+        give_back()
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     total = 0
 
@@ -124,14 +140,15 @@ def uniform(h: np.ndarray) -> np.ndarray:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The folder that all executors share: spark.checkpoint.dir; a temporary one where that is unset and the master local; else an error."""
+    context = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not d:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = "file://" + os.path.join(tempfile.gettempdir(), "skeinworks-shared")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(d)
     return d
 
 
@@ -165,8 +182,29 @@ class Scratch:
         return out
 
     def _delete(self, path: str) -> None:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        delete(self.spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def kept_without(result: DataFrame, folder: str) -> DataFrame:
+    """The result as a checkpoint; the folder that it was computed from goes."""
+    out = cut(result)
+    delete(result.sparkSession, folder)
+    return out
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """Names for columns of one's own, none of which a table has."""
+    out = []
+    for name in names:
+        while name in columns or name in out:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
@@ -207,15 +245,6 @@ def array_file(uri: str, dtype) -> np.ndarray:
         return np.frombuffer(f.read(), dtype)
 
 
-def parts_for(spark: SparkSession, bytes_: int, each: int, least: int = 1) -> int:
-    """How many partitions of `each` bytes hold so many bytes."""
-    return max(least, -(-int(bytes_) // each))
-
-
-def sized_scalar_row(df: DataFrame, *cols) -> tuple:
-    return tuple(df.agg(*cols).first())
-
-
 class Writer:
     """A file that takes its name only when whole: a task that is run twice leaves one whole file."""
 

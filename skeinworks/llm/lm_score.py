@@ -8,7 +8,8 @@ often. These meet by word and become sorted word arrays. Scoring looks up a batc
 
 P(w|v) = max(c(vw) - D(c(vw)), 0) / c(v) + g(v) P(w), P(w) from continuation counts in the same way over 1 / (V + 1).
 A text is its words, ASCII letters in lower case, then one end; a null text is empty. With no training text, each token
-has probability 1. Repeated rows and ids count as often as they stand there.
+has probability 1. Repeated rows and ids count as often as they stand there. An empty table yields no rows. Only id and text are
+read, so that no other column can clash.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import U64, array_file, gather, hashes, join_hash, mix, new_folder, pick, strings, table, words, write_file
+from ._common import U64, array_file, gather, hashes, join_hash, kept_without, mix, new_folder, pick, strings, table, words, write_file
 
 START, END = U64(0x1234567890ABCDEF), U64(0xFEDCBA0987654321)
 HOT_SHARE, SALTS = 1e-4, 16
@@ -94,16 +95,14 @@ def _pair_counter(hot: np.ndarray, n: int):
             bucket = _bucket(x, y, hot, n)
             order = np.argsort(bucket, kind="stable")  # pairs of one context stay together
             x, y, many, bucket = x[order], y[order], many[order], bucket[order]
-            edges = np.searchsorted(bucket, np.arange(n + 1))
-            out = []
-            for k in range(n):
-                s = slice(edges[k], edges[k + 1])
-                run_ = _groups(x[s])
-                out.append(_pack(x[s][run_], np.diff(np.append(run_, edges[k + 1] - edges[k])).astype(np.uint32), y[s], many[s]) if edges[k] < edges[k + 1] else None)
-            full = [k for k in range(n) if out[k]]
-            for at in range(0, len(full), 32):
-                part = full[at : at + 32]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([out[k] for k in part], pa.binary())], names=["bucket", "blob"])
+            # only buckets into which something falls: as many blobs as pairs at most, however many buckets there are
+            edges = np.append(_groups(bucket), len(bucket))
+            for at in range(0, len(edges) - 1, 32):
+                blobs = []
+                for a, z in zip(edges[at : at + 32], edges[at + 1 : at + 33], strict=False):
+                    run_ = _groups(x[a:z])
+                    blobs.append(_pack(x[a:z][run_], np.diff(np.append(run_, z - a)).astype(np.uint32), y[a:z], many[a:z]))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[edges[at : at + 32][: len(blobs)]], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     return run
 
@@ -138,12 +137,13 @@ def _merge_pairs(folder: str, n: int):
         w, (cont,) = _sums(b, [np.ones(len(b), np.int64)])
         v, (total, n1, n2, n3) = _sums(a, [many, (many == 1).astype(np.int64), (many == 2).astype(np.int64), (many > 2).astype(np.int64)])
         wb, vb = (np.searchsorted(_limits(n), x, side="right") for x in (w, v))  # w and v are sorted, hence their buckets too
-        at_w, at_v = np.searchsorted(wb, np.arange(n + 1)), np.searchsorted(vb, np.arange(n + 1))
+        to = np.unique(np.concatenate((wb, vb)))
+        at_w, at_v = (np.append(np.searchsorted(x, to), len(x)) for x in (wb, vb))
         blobs = [_pack(np.array([(many == i).sum() for i in (1, 2, 3, 4)], np.int64))]
-        for i in range(n):
+        for i in range(len(to)):
             s, z = slice(at_w[i], at_w[i + 1]), slice(at_v[i], at_v[i + 1])
             blobs.append(_pack(w[s], cont[s].astype(np.uint32), v[z], total[z], n1[z].astype(np.uint32), n2[z].astype(np.uint32), n3[z].astype(np.uint32)))
-        return pa.table({"bucket": pa.array(range(-1, n), pa.int32()), "blob": pa.array(blobs, pa.binary())})
+        return pa.table({"bucket": pa.array(np.concatenate(([-1], to)), pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
     return run
 
@@ -178,10 +178,11 @@ def _merge_words(folder: str):
 
 
 def _discounts(n: list[int]) -> list[float]:
-    """Chen and Goodman's, from the numbers of items seen once to four times; of 0 where these say nothing."""
+    """Chen and Goodman's, from the numbers of items seen once to four times; a half where these say nothing, and never nothing, so that
+    unknown words keep a probability."""
     n = [float(x) for x in n]
     y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
-    return [min(i + 1.0, max(0.0, i + 1 - (i + 2) * y * n[i + 1] / n[i])) if n[i] else 0.0 for i in range(3)]
+    return [min(i + 1.0, max(0.05, i + 1 - (i + 2) * y * n[i + 1] / n[i])) if n[i] else 0.5 for i in range(3)]
 
 
 def train(docs: DataFrame, text_col: str = "text") -> dict:
@@ -202,9 +203,12 @@ def train(docs: DataFrame, text_col: str = "text") -> dict:
         return model
     pairs = d.mapInArrow(_pair_counter(hot, n), "bucket int, blob binary")
     merged = pairs.groupBy("bucket").applyInArrow(_merge_pairs(folder, n), "bucket int, blob binary")
-    stats = merged.groupBy("bucket").applyInArrow(_merge_words(folder), "kind string, stats array<bigint>").collect()
-    words_ = np.sum([r.stats for r in stats if r.kind == "words"], axis=0)
-    model["pairs"] = _discounts(next(r.stats for r in stats if r.kind == "pairs"))
+    # a row for each of the two kinds
+    each = merged.groupBy("bucket").applyInArrow(_merge_words(folder), "kind string, stats array<bigint>")
+    sums = each.groupBy("kind").agg(F.array(*[F.coalesce(F.sum(F.get("stats", F.lit(i))), F.lit(0)) for i in range(7)]).alias("stats")).collect()
+    stats = {r.kind: r.stats for r in sums}
+    words_ = stats["words"]
+    model["pairs"] = _discounts(stats["pairs"][:4])
     model["words"] = d_ = _discounts(words_[:4])
     n1, n2, _, _, n3, total, types = (float(x) for x in words_)
     return model | {"types": int(types), "all": total, "more": (d_[0] * n1 + d_[1] * n2 + d_[2] * n3) / total}
@@ -273,10 +277,12 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     model = train(own)
     model["texts"] = own.count() if model["tokens"] else 0
     kind = dict(d.dtypes)["doc_id"]
-    return d.mapInArrow(_scorer(model), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    scored = d.mapInArrow(_scorer(model), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    return kept_without(scored, model["folder"])
 
 
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log-probability of every document by a model of those that are not held out."""
     return score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2).withColumn(
         "perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))
     )

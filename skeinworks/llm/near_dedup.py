@@ -307,14 +307,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     # ids may be null or repeated, so the root tells classes apart
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("node").alias("node"))).alias("first")
-    kept = cut(near_duplicates(docs, id_col, text_col, **options).groupBy("root").agg(first).select(F.col("first.id").alias("__class"), F.col("first.node").alias("__kept")))
+    kept = cut(near_duplicates(docs, id_col, text_col, **options).groupBy("root").agg(first).select(F.col("first.id").alias("kept_id"), F.col("first.node").alias("kept_node")))
     own = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    # the id decides together with the text, so that a group of copies meets in no task
-    marked = docs.withColumn("__node", own).withColumn("__id", F.col(f"`{id_col}`"))
-    one = marked.join(kept, F.col("__id").eqNullSafe(F.col("__class")) & (F.col("__node") == F.col("__kept")))
-    nth = F.row_number().over(Window.partitionBy("__id", "__node").orderBy("__id"))
-    return one.withColumn("__nth", nth).where("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the id decides together with the text, so that a group of copies meets in no task; rows stay whole, so that no name can clash
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"), own.alias("node"))
+    one = marked.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("node") == F.col("kept_node")))
+    nth = F.row_number().over(Window.partitionBy("id", "node").orderBy("id"))
+    return one.withColumn("nth", nth).where("nth = 1").select("row.*")
 
 
 def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document, how many it has, and to how many other texts the document's text is near."""
     return near_duplicates(table(spark, sf_dir, "documents")).drop("node", "root")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bloom
-from ._common import U64, cut, gather, hashes, pick, spread, strings, table, words
+from ._common import U64, cut, gather, hashes, pick, spread, strings, table, unused, words
 from .decontamination import SIGNS
 
 KINDS = ("email", "ip", "card", "phone")
@@ -205,17 +205,18 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", discl
 
 
 def op6_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document, and the terms that disclose it."""
     s = spans(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     text = F.array_join(F.transform(F.concat("base", "extra"), lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["stop"].cast("string"))), ",")
     return s.select("doc_id", *[count(k) for k in KINDS], "base_sha256", text.alias("spans"), F.size("extra").cast("long").alias("n_term"))
 
 
-def _rewriter(text_col: str, columns: list[str], count_col: str | None):
+def _rewriter(text_col: str, columns: list[str], count_col: str | None, found_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(text_col).to_pylist()
-            for i, found in enumerate(b.column("__spans").to_pylist()):
+            for i, found in enumerate(b.column(found_col).to_pylist()):
                 if found:
                     texts[i] = rewrite(texts[i], [(s["kind"], s["start"], s["stop"]) for s in found])
             cols = {c: b.column(c) for c in columns}
@@ -243,7 +244,8 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
     """docs with all columns and rows, texts rewritten; count_col, if given, gets the new number of code points."""
     key = lambda i, t: F.struct(F.col(f"`{i}`").alias("i"), F.md5(F.coalesce(F.col(f"`{t}`"), F.lit("")).cast("binary")).alias("h"))
     keyed = pick(docs, doc_id=id_col, text=text_col).select(key("doc_id", "text").alias("doc_id"), "text")
-    found = spans(keyed).select(F.col("doc_id").alias("__key"), F.concat("base", "extra").alias("__spans")).where(F.size("__spans") > 0)
-    one = cut(found.groupBy("__key").agg(F.first("__spans").alias("__spans")))
-    joined = docs.withColumn("__own", key(id_col, text_col)).join(one, F.col("__own").eqNullSafe(F.col("__key")), "left").drop("__own", "__key")
-    return joined.mapInArrow(_rewriter(text_col, docs.columns, count_col), docs.schema)
+    own, other, found_col = unused(docs.columns, "own", "other", "found")
+    found = spans(keyed).select(F.col("doc_id").alias(other), F.concat("base", "extra").alias(found_col)).where(F.size(found_col) > 0)
+    one = cut(found.groupBy(other).agg(F.first(found_col).alias(found_col)))
+    joined = docs.withColumn(own, key(id_col, text_col)).join(one, F.col(own).eqNullSafe(F.col(other)), "left").drop(own, other)
+    return joined.mapInArrow(_rewriter(text_col, docs.columns, count_col, found_col), docs.schema)

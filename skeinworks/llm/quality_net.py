@@ -4,11 +4,13 @@ A text's UTF-8 bytes are cut into chunks of CHUNK bytes, each read on for STRIDE
 document. Learned byte vectors pass through learned filters of 2 x STRIDE bytes, every STRIDE bytes; each filter's maximum
 over a chunk goes through a hidden layer; the chunks' mean gives one probability.
 
-Learning takes at most MAX_TEXTS labelled texts and of each at most TEXT_CHUNKS chunks, spread evenly over it (the rows
-of smallest hash of the id; a fixed bound, so the driver's share does not grow). Scoring takes every byte of every text.
+Learning takes at most MAX_TEXTS labelled texts, whole (the rows of smallest hash of the id; a fixed bound of rows, so the
+driver's share does not grow), EPOCHS times, or as often as MIN_STEPS batches take where labels are few. Scoring takes every byte
+of every text.
 
 Null and empty texts: one chunk of zero bytes, a score like any other. Without labels of both kinds, the score is the
-share of label 1 (0.5 without labels). Repeated rows and ids are each scored.
+share of label 1 (0.5 without labels). Repeated rows and ids are each scored; a repeated id's labels count as its smallest. An
+empty table yields no rows. Only id and text are read to score, and filtering passes all columns on, so that no name can clash.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from ._common import gather, pick, strings, table
 
 CHUNK, STRIDE, WIDE, FILTERS, HIDDEN = 256, 4, 8, 32, 16
-MAX_TEXTS, TEXT_CHUNKS, EPOCHS, BATCH, RATE = 3000, 6, 5, 64, 0.004
+MAX_TEXTS, EPOCHS, MIN_STEPS, BATCH, RATE = 3000, 5, 400, 64, 0.004
 CUT = 0.3
 _READ = CHUNK + STRIDE
 
@@ -93,14 +95,15 @@ class Net:
                 de[:, j] += np.bincount(part.reshape(-1), d[:, j], 256).astype(np.float32)
         return g | {"emb": de}
 
-    def fit(self, rows: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Net:
+    def fit(self, rows: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int | None = None, seed: int = 7) -> Net:
+        epochs = epochs or max(EPOCHS, -(-MIN_STEPS * BATCH // max(1, len(y))))
         if len(set(y.tolist())) < 2:
             self.constant = float(y.mean()) if len(y) else 0.5
             return self
         r = np.random.default_rng(seed)
         self.p["d"][0] = np.log(y.mean() / (1 - y.mean()))
-        m, s, t = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2)), None, 0
-        m, s = m
+        m, s = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
+        t = 0
         for epoch in range(epochs):
             rate = RATE * (1 - epoch / epochs)
             order = r.permutation(len(y))
@@ -125,10 +128,7 @@ def _rows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _sampler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in gather(batches):
         rows, first = _rows(strings(b.column("text")))
-        out = []
-        for i in range(b.num_rows):
-            n = first[i + 1] - first[i]
-            out.append(rows[first[i] + np.unique(np.linspace(0, n - 1, min(n, TEXT_CHUNKS)).astype(int))].tobytes())
+        out = [rows[a:z].tobytes() for a, z in zip(first[:-1], first[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([b.column("pick"), pa.array(out, pa.binary()), b.column("label")], names=["pick", "chunks", "label"])
 
 
@@ -180,4 +180,5 @@ def keep_good(docs: DataFrame, net: Net, text_col: str = "text", cut: float = CU
 
 
 def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document by a network learned from labels that are not held out."""
     return score(table(spark, sf_dir, "documents"), fitted(spark, sf_dir))

@@ -120,4 +120,5 @@ def trusted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base counts, the likelihood ratio and the verdicts of every document."""
     return rules(table(spark, sf_dir, "documents"), trusted_texts(spark, sf_dir))

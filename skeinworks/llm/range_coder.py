@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from ._common import Writer, cut, gather, new_folder, open_file, pick, strings, table
+from ._common import Writer, cut, gather, kept_without, new_folder, open_file, pick, strings, table
 
 BLOCK, LANES, SLOTS = 2048, 8192, 256
 MAGIC = b"SKTOK002"
@@ -122,12 +122,9 @@ class _Out:
 
     def close(self) -> list[np.ndarray]:
         n = len(self.low)
-        for _ in range(3):
-            self.range[:] = 1
-            word = np.floor(self.low / _LEAST)
-            self.lanes.append(np.arange(n).astype(np.uint16))
-            self.words.append(word.astype(np.int32))
-            self.low = (self.low - word * _LEAST) * _WORD
+        # one word more: with zeros behind it, a number that the last range holds
+        self.lanes.append(np.arange(n).astype(np.uint16))
+        self.words.append(np.ceil(self.low / _LEAST).astype(np.int32))
         lanes, words = np.concatenate(self.lanes), np.concatenate(self.words)
         self.lanes, self.words = [], []
         words = words[np.argsort(lanes, kind="stable")]
@@ -190,20 +187,26 @@ def decode_blocks(words_: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) ->
 
 def _decode(words_: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     n, block = len(sizes), int(sizes[0])
-    words = np.concatenate((words_, np.zeros(4, "<u2"))).astype(np.float64)  # a damaged block may read on
-    at, range_ = first.astype(np.int64), np.full(n, _FULL)
+    words = np.append(words_, 0).astype(np.float64)
+    at, end, range_ = first.astype(np.int64), np.append(first[1:], len(words_)), np.full(n, _FULL)
     code = np.zeros(n)
+
+    def taken(lanes) -> np.ndarray:
+        """The lanes' next words, zeros behind their last."""
+        place = at[lanes].copy()
+        at[lanes] += 1
+        return words[np.where(place < end[lanes], place, len(words_))]
+
     for _ in range(3):
-        code, at = code * _WORD + words[np.minimum(at, len(words) - 1)], at + 1
+        code = code * _WORD + taken(slice(None))
 
     def shift() -> None:
         for _ in range(4):  # a damaged block may have a range of 0
             short = np.flatnonzero(range_ < _LEAST)
             if not len(short):
                 return
-            code[short] = code[short] * _WORD + words[np.minimum(at[short], len(words) - 1)]
+            code[short] = code[short] * _WORD + taken(short)
             range_[short] *= _WORD
-            at[short] += 1
 
     m, steps = _Model(n), np.zeros((block, n), np.uint16)
     for t in range(block):
@@ -344,5 +347,6 @@ def read(files: DataFrame, folder: str) -> DataFrame:
 
 
 def op4_context_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to token files and read back."""
     folder = new_folder(spark, "token-files")
-    return read(write(table(spark, sf_dir, "documents"), folder), folder)
+    return kept_without(read(write(table(spark, sf_dir, "documents"), folder), folder), folder)

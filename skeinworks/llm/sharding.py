@@ -68,4 +68,5 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
 
 
 def op8_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document by its id, and its place there."""
     return shard(table(spark, sf_dir, "documents"))

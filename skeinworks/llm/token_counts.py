@@ -5,7 +5,8 @@ id. They are cut into blocks of BLOCK ids, read apart from each other; a vectori
 separators. A text that runs over blocks is stitched by a prefix scan over the blocks of a file: the running maximum of the last
 separator's place is where the text open at the block's start began, the running sum of separators is its number.
 
-An empty or null text has its end only, count 1 with it. Ids after a file's last separator are a text that is not ended.
+An empty or null text has its end only, count 1 with it. Ids after a file's last separator are a text that is not ended. Repeated
+rows and ids are each counted; an empty table writes no file. Only id and text are read, so that no other column can clash.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from ._common import Writer, cut, gather, new_folder, open_file, pick, strings, table
+from ._common import Writer, cut, gather, kept_without, new_folder, open_file, pick, strings, table
 
 BLOCK = 1 << 20
 
@@ -83,8 +84,9 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     order = write_flat(pick(docs, doc_id=id_col, text=text_col), folder, path)
     files = order.where("nth < 0").select("file", (-1 - F.col("nth")).alias("size"))
     counts = scan(files, folder, tokens.Encoder(path).end_id, block)
-    return order.where("nth >= 0").join(counts, ["file", "nth"]).select("doc_id", "file", "nth", "start", "n_tokens", "ended")
+    return kept_without(order.where("nth >= 0").join(counts, ["file", "nth"]).select("doc_id", "file", "nth", "start", "n_tokens", "ended"), folder)
 
 
 def op2_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tokens of every document, with its end, and where it stands in the flat files."""
     return count_tokens(table(spark, sf_dir, "documents"))
