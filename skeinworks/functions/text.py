@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HOSTS = ("posts.example", "threads.example")
+# fixed values: the hosts of links to posts, white space, labels and their keys
+HOSTS = ("farcaster.xyz", "warpcast.com")
+SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+THREAD_TYPES = (
+    "creation-showcase", "project-update", "advice-giving", "question-seeking", "life-update",
+    "opinion-stating", "ritual-greeting", "call-to-action", "market-alert", "noise",
+)
+VALUE_EXCHANGES = ("knowledge-transfer", "social-capital", "emotional-energy", "economic-value", "none")
+INTERACTION_PATTERNS = ("problem-solving", "social-bonding", "show-and-tell", "information-seeking", "debate")
+LABELS = {"thread_type": THREAD_TYPES, "value_exchange": VALUE_EXCHANGES, "interaction_pattern": INTERACTION_PATTERNS}
 
 
 def byte_to_char(text: Column, at: Column) -> Column:
@@ -41,13 +52,17 @@ def line(depth: Column, username: Column, text: Column) -> Column:
     return F.when(depth == 0, F.concat_ws("", F.lit("@"), username, F.lit(": "), text)).otherwise(F.concat_ws("", F.lit("~"), depth.cast("string"), F.lit(": @"), username, F.lit(": "), text))
 
 
+#: A mention ends where a word does, or begins.
+MENTION = r"@[a-z0-9_.-]+(?:(?<=[a-z0-9_])(?![\p{L}\p{N}_])|(?<=[.-])(?=[\p{L}\p{N}_]))"
+
+
 def normalise(text: Column) -> Column:
-    """What near-duplicate detection compares."""
+    """What near-duplicate detection compares: lower case, without a leading name, mentions, links and signs, one space between words."""
     t = F.lower(F.coalesce(text, F.lit("")))
-    for pattern, to in ((r"^@[a-z0-9._-]+:\s*", ""), (r"@[a-z0-9._-]+", ""), (r"https?://\S+", "")):
-        t = F.regexp_replace(t, pattern, to)
-    t = F.trim(F.regexp_replace(t, r"\s+", " "))
-    return F.regexp_replace(t, r"[^\p{L}\p{N}_\s#]", "")
+    for pattern in (rf"^@[a-z0-9_.-]+:[{SPACE}]*", MENTION, rf"https?://[^{SPACE}]+"):
+        t = F.regexp_replace(t, pattern, "")
+    t = F.trim(F.regexp_replace(t, f"[{SPACE}]+", " "))
+    return F.regexp_replace(t, r"[^\p{L}\p{N}_ #]", "")
 
 
 def char_shingles(text: Column, n: int = 3) -> Column:
@@ -71,15 +86,62 @@ def longest(*candidates: Column) -> Column:
     return F.when(F.size(some) > 0, F.array_max(some)["v"])
 
 
-LABELS = {
-    "thread_type": ("question-answer", "discussion", "announcement", "advice-giving", "storytelling", "other"),
-    "value_exchange": ("informational", "emotional", "economic", "social", "none"),
-    "interaction_pattern": ("dialogue", "debate", "monologue", "broadcast", "other"),
-}
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
 def parse_labels(answer: Column, vocabulary: dict[str, tuple[str, ...]] = LABELS) -> dict[str, Column]:
-    """The three labels of an answer of key: value lines; null where the line lacks or its value is none of the vocabulary."""
-    a = F.lower(answer)
-    found = {k: F.trim(F.regexp_extract(a, rf"(?m)^\s*{k}\s*:\s*([^\n]*)", 1)) for k in vocabulary}
-    return {k: F.when(v.isin(*vocabulary[k]), v) for k, v in found.items()}
+    """The labels of an answer. A line belongs to the first key that it holds, if it holds a colon; what stands behind the first colon
+    counts if it is in the vocabulary; of several the last. Null where no line has a valid value."""
+    lines = F.split(F.lower(stripped(answer)), "\n")
+    keys = list(vocabulary)
+    return {k: _last(_values(lines, k, keys[:i], vocabulary[k])) for i, k in enumerate(keys)}
+
+
+def _values(lines: Column, key: str, before: list[str], known: tuple[str, ...]) -> Column:
+    def mine(line: Column) -> Column:
+        return functools.reduce(lambda c, k: c & ~line.contains(k), before, line.contains(key) & line.contains(":"))
+
+    values = F.transform(F.filter(lines, mine), lambda x: stripped(F.substring(x, F.instr(x, ":") + 1, F.length(x))))
+    return F.filter(values, lambda v: v.isin(*known))
+
+
+def _last(values: Column) -> Column:
+    return F.get(values, F.size(values) - 1)
+
+
+def prompt(text: Column, vocabulary: dict[str, tuple[str, ...]] = LABELS, template: str | None = None) -> Column:
+    """The question that a classifier is asked: the labels to choose from, the text, and the lines to answer with. A template holds
+    {labels}, {text} and {answer}."""
+    template = template or "Choose one label of each list for the thread below. Its first post counts most.\n\n{labels}\n\nThread:\n{text}\n\nAnswer with these lines only:\n{answer}"
+    labels = "\n".join(f"{k}: {', '.join(v)}" for k, v in vocabulary.items())
+    filled = template.replace("{labels}", labels).replace("{answer}", "\n".join(f"{k}:<label>" for k in vocabulary))
+    head, _, end = filled.partition("{text}")
+    return F.concat(F.lit(head), embed_text(text), F.lit(end))
+
+
+def from_hex(text: Column) -> Column:
+    return F.unhex(text)
+
+
+def to_hex(raw: Column) -> Column:
+    """Lower-case hex digits of bytes."""
+    return F.lower(F.hex(raw))
+
+
+def bytes_of(numbers: Column) -> Column:
+    """An array of numbers from 0 to 255 as bytes."""
+    return F.unhex(F.array_join(F.transform(numbers, lambda n: F.lpad(F.hex(n.cast("long")), 2, "0")), ""))
+
+
+def embedded_hash(embeds: Column) -> Column:
+    """The bytes listed behind the first 'hash': {'data': [ in a post's pseudo-JSON; null where none are."""
+    found = F.regexp_extract(embeds, r"'hash'\s*:\s*\{'data'\s*:\s*\[([0-9,\s]+)\]", 1)
+    return F.when(F.length(found) > 0, bytes_of(F.transform(F.split(found, ","), lambda n: F.trim(n).cast("int"))))
+
+
+def with_quote(text: Column, quote: Column) -> Column:
+    """The quote in the place of links to posts, or behind the text where it has none; the text alone without a quote."""
+    link = r"https://warpcast\.com/[^ ]+/0x[0-9A-Fa-f]{8,}"
+    safe = F.replace(F.replace(quote, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    return F.when(quote.isNull(), text).when(text.rlike(link), F.regexp_replace(text, F.lit(link), safe)).otherwise(F.concat_ws("", text, F.lit(" "), quote))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -63,3 +66,96 @@ def hamming(a: list[Column], b: list[Column]) -> Column:
     for x, y in zip(a, b, strict=True):
         out = out + F.bit_count(x.bitwiseXOR(y))
     return out
+
+
+def packed(vector: Column) -> Column:
+    """The signs as bytes, eight to a byte, the first in the highest bit."""
+    return packed_bits(signs(vector))
+
+
+def packed_bits(bits: Column) -> Column:
+    """A string of bits, a multiple of eight long, as bytes."""
+    n = (F.length(bits) / 8).cast("int")
+    part = lambda i: F.lpad(F.conv(F.substring(bits, i * 8 + 1, F.lit(8)), 2, 16), 2, "0")
+    return F.unhex(F.array_join(F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), part)).otherwise(F.array().cast("array<string>")), ""))
+
+
+def unpacked(raw: Column) -> Column:
+    """Bytes as a string of bits, the highest first."""
+    digits = F.regexp_replace(F.hex(raw), "(.)", "$1,")
+    return F.array_join(F.transform(F.filter(F.split(digits, ","), lambda d: d != ""), lambda d: F.lpad(F.conv(d, 16, 2), 4, "0")), "")
+
+
+def checked(vector: Column, size: int) -> Column:
+    """The vector; an error if it has another number of values."""
+    return F.when(vector.isNull() | (F.size(vector) == size), vector).otherwise(F.raise_error(F.concat(F.lit(f"a vector of {size} values was expected, not of "), F.size(vector).cast("string"))))
+
+
+def parsed(text: Column) -> Column:
+    """The vector written as [a, b, ...]."""
+    return F.from_json(text, "array<float>")
+
+
+def half(vector: Column) -> Column:
+    """The values rounded to 16-bit floats."""
+    @F.pandas_udf("array<float>")
+    def rounded(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda v: None if v is None else np.asarray(v, np.float32).astype(np.float16).astype(np.float32))
+
+    return rounded(vector)
+
+
+def half_bytes(vector: Column) -> Column:
+    """The values as 16-bit floats, little-endian."""
+    @F.pandas_udf("binary")
+    def written(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda v: None if v is None else np.asarray(v, np.float32).astype("<f2").tobytes())
+
+    return written(vector)
+
+
+def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int, metric: str = "cosine", block: int = 1024) -> DataFrame:
+    """q_id, key, rank, distance: of each query its k nearest rows of df, itself left out; exact. queries: the same columns as df.
+
+    Queries go to the tasks `block` at a time, a scan for each block; a task keeps its k best of each query, so that
+    k rows a task and query are shuffled, not pairs. metric: cosine (1 - similarity) or hamming (unlike signs). Ties go to the smaller key.
+    """
+    rows = df.select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL")
+    ask = queries.select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL")
+
+    def matrix(batch) -> tuple[np.ndarray, np.ndarray]:
+        ids = batch.column("id").to_numpy()
+        return ids, batch.column("v").flatten().to_numpy().reshape(len(ids), -1) if len(ids) else np.empty((0, 0))
+
+    def prepared(m: np.ndarray) -> np.ndarray:
+        return np.where(m > 0, 1.0, -1.0) if metric == "hamming" else m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
+    def scorer(q_ids: np.ndarray, q: np.ndarray):
+        def run(batches):
+            best_d, best_i = np.full((len(q_ids), k), np.inf), np.full((len(q_ids), k), np.iinfo(np.int64).max)
+            for b in batches:
+                ids, m = matrix(b)
+                if not len(ids):
+                    continue
+                dot = q @ prepared(m).T
+                d = (q.shape[1] - dot) / 2 if metric == "hamming" else 1 - dot
+                d[q_ids[:, None] == ids] = np.inf
+                d, i = np.concatenate((best_d, d), 1), np.concatenate((best_i, np.broadcast_to(ids, dot.shape)), 1)
+                order = np.lexsort((i, d), axis=1)[:, :k]
+                best_d, best_i = np.take_along_axis(d, order, 1), np.take_along_axis(i, order, 1)
+            n, j = np.nonzero(np.isfinite(best_d))
+            yield pa.RecordBatch.from_arrays([pa.array(q_ids[n]), pa.array(best_i[n, j]), pa.array(best_d[n, j])], names=["q_id", "id", "distance"])
+
+        return run
+
+    n = max(1, -(-ask.count() // block))
+    out = None
+    for part in range(n):
+        # about `block` queries
+        got = ask.where(F.pmod(F.xxhash64("id"), F.lit(n)) == part).toArrow().combine_chunks()
+        batch = got.to_batches()[0] if got.num_rows else None
+        q_ids, q = matrix(batch) if batch else (np.empty(0, np.int64), np.empty((0, 1)))
+        found = rows.mapInArrow(scorer(q_ids, prepared(q)), "q_id bigint, id bigint, distance double")
+        out = found if out is None else out.unionAll(found)
+    rank = F.row_number().over(Window.partitionBy("q_id").orderBy("distance", "id"))
+    return out.withColumn("rank", rank).where(F.col("rank") <= k).select("q_id", F.col("id").alias(key), "rank", "distance")

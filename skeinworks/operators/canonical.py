@@ -33,16 +33,26 @@ def signatures(docs: DataFrame, perms: int = PERMS) -> DataFrame:
     return docs.select("node", sign(F.transform(T.char_shingles(F.col("norm")), lambda s: F.xxhash64(s))).alias("signature"))
 
 
+def bands(signed: DataFrame, threshold: float) -> DataFrame:
+    """node, band: the keys of each node's bands."""
+    n, rows = banding(threshold)
+    key = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.xxhash64(i, F.slice("signature", i * rows + 1, rows))))
+    return signed.select("node", key.alias("band"))
+
+
+def agreement(a, b):
+    """The share of equal places of two signatures."""
+    return F.size(F.filter(F.zip_with(a, b, lambda p, q: p == q), lambda e: e)) / F.size(a)
+
+
 def canonicals(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
     """hash, canonical_hash. docs: hash, ts, text."""
-    bands, rows = banding(threshold)
     norm = docs.select("hash", "ts", T.normalise(F.col("text")).alias("norm"))
     nodes = cut(norm.groupBy("norm").agg(F.min(F.struct("ts", "hash")).alias("node")))
     sig = cut(signatures(nodes).join(nodes.select("node", F.length("norm").alias("n")), "node"))
-    key = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice("signature", i * rows + 1, rows))))
-    banded = sig.select("node", key.alias("band"))
+    banded = bands(sig, threshold)
     pairs = banded.alias("x").join(banded.alias("y"), "band").where("x.node < y.node").select(F.col("x.node").alias("early"), F.col("y.node").alias("node")).distinct()
-    same = F.size(F.filter(F.zip_with("signature", "other", lambda p, q: p == q), lambda e: e)) / float(PERMS)
+    same = agreement(F.col("signature"), F.col("other"))
     near = pairs.join(sig, "node").join(sig.select(F.col("node").alias("early"), F.col("signature").alias("other")), "early")
     edges = cut(near.where(same >= F.when(F.col("n") > 60, 0.95).otherwise(0.90)).select("node", "early"))
     state = cut(nodes.select("node").join(edges.select("node").distinct().withColumn("open", F.lit(True)), "node", "left").select("node", F.when(F.col("open").isNull(), F.col("node")).alias("leader")))
@@ -58,3 +68,9 @@ def canonicals(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
 def report(result: DataFrame) -> DataFrame:
     """n_total, n_unique, n_duplicates, rate in percent."""
     return result.agg(F.count("*").alias("n_total"), F.count_distinct("canonical_hash").alias("n_unique")).select("n_total", "n_unique", (F.col("n_total") - F.col("n_unique")).alias("n_duplicates"), F.round(100.0 * (F.col("n_total") - F.col("n_unique")) / F.col("n_total"), 4).alias("rate"))
+
+
+def largest(result: DataFrame, n: int) -> DataFrame:
+    """canonical_hash, n, first_ts, last_ts of the n largest groups of several texts. result: canonical_hash, ts."""
+    groups = result.groupBy("canonical_hash").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    return groups.where("n > 1").orderBy(F.desc("n"), "canonical_hash").limit(n)

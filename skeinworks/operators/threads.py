@@ -15,37 +15,60 @@ from ..sources.shared import cut
 MAX_DEPTH, LARGE, MIN_TEXT = 10, 50_000, 20
 
 
-def good_users(labels: DataFrame) -> DataFrame:
-    return labels.where((F.col("label_type") == "spam") & (F.expr("try_cast(label_value AS INT)") == 2)).select(F.col("target_fid").alias("fid")).distinct()
+def good_labels(labels: DataFrame) -> DataFrame:
+    """fid of each label row of value 2, whatever its type; a user with several such rows comes several times."""
+    return labels.where(F.expr("try_cast(label_value AS INT)") == 2).select(F.col("target_fid").alias("fid"))
 
 
 def reaction_counts(reactions: DataFrame, labels: DataFrame) -> DataFrame:
     """hash, n_reactions: reactions of users with a good label, counted once however many label rows a user has."""
-    return reactions.join(good_users(labels), "fid", "left_semi").groupBy(F.col("target_hash").alias("hash")).agg(F.count("*").alias("n_reactions"))
+    good = reactions.join(good_labels(labels), "fid", "left_semi")
+    return good.groupBy(F.col("target_hash").alias("hash")).agg(F.count("*").alias("n_reactions"))
 
 
-def engagement(posts: DataFrame, reactions: DataFrame, labels: DataFrame) -> DataFrame:
-    """hash, root_hash, like_count, recast_count, comment_count of posts with any. Label rows multiply, as the view has it."""
-    spam = labels.select(F.col("target_fid").alias("fid"))
-    r = reactions.join(spam, "fid").groupBy(F.col("target_hash").alias("hash")).agg(F.count_if(F.col("reaction_type") == 1).alias("like_count"), F.count_if(F.col("reaction_type") == 2).alias("recast_count"))
-    c = posts.join(spam, "fid").groupBy(F.col("parent_hash").alias("hash")).agg(F.count("*").alias("comment_count"))
+def engagement(posts: DataFrame, reactions: DataFrame, labels: DataFrame, dedupe_labels: bool = False) -> DataFrame:
+    """hash, root_hash, like_count, recast_count, comment_count of posts with any, by users with a good label.
+
+    A user with two good label rows counts twice, unless dedupe_labels.
+    """
+    good = good_labels(labels)
+    good = good.distinct() if dedupe_labels else good
+    r = reactions.join(good, "fid").groupBy(F.col("target_hash").alias("hash")).agg(
+        F.count_if(F.col("reaction_type") == 1).alias("like_count"), F.count_if(F.col("reaction_type") == 2).alias("recast_count")
+    )
+    c = posts.join(good, "fid").groupBy(F.col("parent_hash").alias("hash")).agg(F.count("*").alias("comment_count"))
     both = r.join(c, "hash", "full_outer")
-    return both.join(posts.select("hash", "root_hash"), "hash").select("hash", "root_hash", *[F.coalesce(x, F.lit(0)).alias(x) for x in ("like_count", "recast_count", "comment_count")])
+    counts = [F.coalesce(x, F.lit(0)).alias(x) for x in ("like_count", "recast_count", "comment_count")]
+    return both.join(posts.select("hash", "root_hash"), "hash").select("hash", "root_hash", *counts)
+
+
+def root_status():
+    """2 for a root, 1 for a reply."""
+    return F.when((F.col("hash") == F.col("root_hash")) & F.col("parent_hash").isNull(), 2).otherwise(1)
 
 
 def roots_and_replies(posts: DataFrame) -> DataFrame:
-    """hash, threads_status: 2 for roots, 1 for replies."""
-    return posts.select("hash", F.when((F.col("hash") == F.col("root_hash")) & F.col("parent_hash").isNull(), 2).otherwise(1).alias("threads_status"))
+    """hash, threads_status."""
+    return posts.select("hash", root_status().alias("threads_status"))
 
 
 def tree(posts: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """root, hash, parent_hash, fid, depth, path of each post that its root reaches: a join by level, each level written once; ends with the deepest thread."""
-    at = posts.where("parent_hash IS NULL AND hash = root_hash").select(F.col("hash").alias("root"), "hash", "parent_hash", "fid", F.lit(0).alias("depth"), F.array("hash").alias("path"))
-    at = cut(at)
+    """root, hash, parent_hash, fid, depth, path of each post that its root reaches.
+
+    A join by level; replies are dealt out by their parent once, so that each level shuffles its own posts only. Each level is written
+    once; the deepest thread ends the loop.
+    """
+    spark = posts.sparkSession
+    root = posts.where("parent_hash IS NULL AND hash = root_hash")
+    at = cut(root.select(F.col("hash").alias("root"), "hash", "parent_hash", "fid", F.lit(0).alias("depth"), F.array("hash").alias("path")))
     child = posts.where("parent_hash IS NOT NULL").select(F.col("hash").alias("child"), F.col("parent_hash").alias("parent"), F.col("fid").alias("child_fid"))
+    child = cut(child.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "parent"))
     out = at
     for depth in range(1, max_depth + 1):
-        at = at.join(child, F.col("hash") == F.col("parent")).select("root", F.col("child").alias("hash"), F.col("parent").alias("parent_hash"), F.col("child_fid").alias("fid"), F.lit(depth).alias("depth"), F.array_append("path", F.col("child")).alias("path"))
+        at = at.join(child, F.col("hash") == F.col("parent")).select(
+            "root", F.col("child").alias("hash"), F.col("parent").alias("parent_hash"), F.col("child_fid").alias("fid"),
+            F.lit(depth).alias("depth"), F.array_append("path", F.col("child")).alias("path"),
+        )
         at = cut(at)
         if at.isEmpty():
             break
@@ -96,9 +119,11 @@ def preorder(kept_: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
 
 
 def thread_sizes(posts: DataFrame) -> DataFrame:
-    """root, n_posts: posts that name the root, or are it; two equal joins in place of an OR."""
-    by_root = posts.where("root_hash IS NOT NULL").select(F.col("root_hash").alias("root"), "hash")
-    return by_root.union(posts.select(F.col("hash").alias("root"), "hash")).distinct().groupBy("root").agg(F.count("*").alias("n_posts"))
+    """root, n_posts, root_fid, root_text: posts that name the root, or are it (two equal joins in place of an OR), and the root's own."""
+    by_root = posts.where("root_hash IS NOT NULL").select(F.col("root_hash").alias("root"), "hash", "fid", "text")
+    both = by_root.union(posts.where("root_hash IS NULL OR root_hash <> hash").select(F.col("hash").alias("root"), "hash", "fid", "text"))
+    its = F.col("hash") == F.col("root")
+    return both.groupBy("root").agg(F.count("*").alias("n_posts"), F.max(F.when(its, F.col("fid"))).alias("root_fid"), F.max(F.when(its, F.col("text"))).alias("root_text"))
 
 
 def mentions_in(posts: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -123,14 +148,14 @@ def quote_walk(seeds: DataFrame, posts: DataFrame, profiles: DataFrame, levels:
     return out
 
 
-def quote_texts(walk: DataFrame, bodies: DataFrame, rounds: int = 8) -> DataFrame:
+def quote_texts(walk: DataFrame, bodies: DataFrame) -> DataFrame:
     """hash, hydrated: texts with their quotes written in, from the leaves up; the first round in which a quoted post is done decides,
-    within it the smallest hash. Posts that no leaf supports have no row. bodies: hash, body, tail."""
+    within it the smallest hash. Posts that no leaf supports have no row. Each round adds a post or is the last. bodies: hash, body, tail."""
     nodes = cut(walk.groupBy("hash").agg(F.first("quotes").alias("quotes"), F.first("username").alias("username")).join(bodies, "hash"))
-    quotes = F.coalesce("quotes", F.array().cast("array<bigint>"))
-    done = nodes.where(F.size(quotes) == 0).select("hash", F.concat("body", "tail").alias("hydrated"), "username")
-    edges = nodes.where(F.size(quotes) > 0).select("hash", F.explode(F.array_distinct("quotes")).alias("child"))
-    for _ in range(rounds):
+    quoting = F.col("quotes").isNotNull() & (F.size("quotes") > 0)
+    done = nodes.where(~quoting).select("hash", F.concat("body", "tail").alias("hydrated"), "username")
+    edges = nodes.where(quoting).select("hash", F.explode(F.array_distinct("quotes")).alias("child"))
+    while True:
         ready = edges.join(done.select("hash"), "hash", "left_anti").join(done.select(F.col("hash").alias("child"), "hydrated", F.col("username").alias("by")), "child")
         first = ready.groupBy("hash").agg(F.min_by(F.struct("hydrated", "by"), "child").alias("q"))
         new = nodes.join(first, "hash").select("hash", F.concat_ws("", "body", F.lit(' QUOTE:["'), "q.hydrated", F.lit('" - @'), "q.by", F.lit("]"), "tail").alias("hydrated"), "username")
@@ -142,33 +167,66 @@ def quote_texts(walk: DataFrame, bodies: DataFrame, rounds: int = 8) -> DataFram
 
 
 def blobs(order: DataFrame, min_text: int = MIN_TEXT) -> DataFrame:
-    """root, blob, fids, reactions. order: preorder rows with `final_text`; short replies are left out of all three."""
+    """root, blob, fids, reactions. order: preorder rows with `final_text`; short replies are left out of all three.
+
+    fids: authors by the reactions of the best of their own shown posts. A root's rows meet in one task; see LARGE.
+    """
     shown = order.where((F.col("depth") == 0) | (F.length("final_text") >= min_text))
     row = F.struct("position", T.line(F.col("depth"), F.col("username"), F.col("final_text")).alias("line"))
-    by_fid = shown.groupBy("root", "fid").agg(F.max("popularity").alias("p"))
-    fids = by_fid.groupBy("root").agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("p")).alias("p"), "fid"))), lambda x: x["fid"]).alias("fids"))
-    text = shown.groupBy("root").agg(F.array_join(F.transform(F.sort_array(F.collect_list(row)), lambda x: x["line"]), "\n").alias("blob"), F.sum("n_reactions").alias("reactions"))
-    return text.join(fids, "root")
+    by_fid = shown.groupBy("root", "fid").agg(F.max("n_reactions").alias("p"))
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("p")).alias("p"), "fid")))
+    fids = by_fid.groupBy("root").agg(F.transform(ranked, lambda x: x["fid"]).alias("fids"))
+    lines = F.transform(F.sort_array(F.collect_list(row)), lambda x: x["line"])
+    return shown.groupBy("root").agg(F.array_join(lines, "\n").alias("blob"), F.sum("n_reactions").alias("reactions")).join(fids, "root")
 
 
 def status_after(root_text):
-    """99 for root texts under the least length, else 1; a null text counts as built."""
+    """99 for root texts under the least length, else 1; a root without a text, which has no profile, counts as built."""
     return F.when(F.length(root_text) < MIN_TEXT, 99).otherwise(1)
 
 
-def build(posts: DataFrame, reactions: DataFrame, labels: DataFrame, profiles: DataFrame, large: int = LARGE, floor: int = 2) -> DataFrame:
-    """root, blob, fids, reactions, tokens, thread_status of every root. posts also: mentions, positions, quotes, urls (arrays)."""
+def hydrated(posts: DataFrame, profiles: DataFrame, seeds: DataFrame) -> DataFrame:
+    """hash, hydrated: the seeds' texts, and those they quote, with mentions, quotes and urls; raw texts have no row."""
+    bodies = mentions_in(posts, profiles).select("hash", "body", T.tail(F.col("text"), F.coalesce("urls", F.array().cast("array<string>"))).alias("tail"))
+    texts = quote_texts(quote_walk(seeds, posts, profiles), bodies)
+    return texts.select("hash", T.tidy(F.col("hydrated")).alias("hydrated"))
+
+
+def build(posts: DataFrame, reactions: DataFrame, labels: DataFrame, profiles: DataFrame, roots: DataFrame | None = None, large: int = LARGE, floor: int = 2, count=T.pretoken_count) -> DataFrame:
+    """root, blob, fids, reactions, tokens, thread_status of every root, or of those given (hash). posts also: mentions, positions, quotes, urls (arrays).
+
+    Threads of more than `large` posts get their root's text and a note. count: a text's number of tokens, as a column function.
+    """
+    own = posts.where("parent_hash IS NULL AND hash = root_hash").select("hash")
+    roots = own if roots is None else roots.select("hash")
+    some = posts.join(roots.select(F.col("hash").alias("root_hash")), "root_hash", "left_semi")
     counts = reaction_counts(reactions, labels)
-    sizes = thread_sizes(posts)
-    roots = posts.where("parent_hash IS NULL AND hash = root_hash")
-    big = sizes.where(F.col("n_posts") > large).select("root", "n_posts")
-    small = posts.join(big, posts.root_hash == big.root, "left_anti")
+    sizes = thread_sizes(some)
+    big = cut(sizes.where(F.col("n_posts") > large))
+    small = some.join(big, some.root_hash == big.root, "left_anti")
     keep = kept(enriched(tree(small), profiles, counts), reactions, floor)
-    bodies = mentions_in(posts, profiles).select("hash", "body", T.tail(F.col("text"), F.coalesce("urls", F.array().cast("array<string>"))).alias("tail"))
-    texts = quote_texts(quote_walk(keep.select("hash"), posts, profiles), bodies)
-    raw = posts.select("hash", "text")
-    order = preorder(keep).join(texts, "hash", "left").join(raw, "hash").withColumn("final_text", T.tidy(F.coalesce("hydrated", "text")))
-    made = blobs(order)
-    summary = roots.join(big, roots.hash == big.root).join(profiles, "fid").join(counts, "hash", "left").select("root", F.concat(F.lit("@"), "username", F.lit(": "), "text", F.lit("\n\n(thread too large: "), F.col("n_posts").cast("string"), F.lit(" replies)")).alias("blob"), F.coalesce("n_reactions", F.lit(0)).alias("reactions"), F.array("fid").alias("fids"))
-    all_ = made.select("root", "blob", "reactions", "fids").unionByName(summary)
-    return roots.select(F.col("hash").alias("root"), "text").join(all_, "root", "left").select("root", "blob", "fids", F.coalesce("reactions", F.lit(0)).alias("reactions"), T.pretoken_count(F.col("blob")).alias("tokens"), status_after(F.col("text")).alias("thread_status"))
+    order = preorder(keep).join(hydrated(posts, profiles, keep.select("hash")), "hash", "left").join(posts.select("hash", "text"), "hash")
+    order = cut(order.withColumn("final_text", F.coalesce("hydrated", "text")))
+    made = blobs(order).join(order.where("depth = 0").select("root", F.col("final_text").alias("root_text")), "root")
+    note = F.concat_ws("", F.lit("@"), "username", F.lit(": "), "root_text", F.lit("\n\n(thread too large: "), F.col("n_posts").cast("string"), F.lit(" replies)"))
+    named = big.join(profiles.withColumnRenamed("fid", "root_fid"), "root_fid", "left").join(counts.withColumnRenamed("hash", "root"), "root", "left")
+    summary = named.select("root", note.alias("blob"), F.coalesce("n_reactions", F.lit(0)).alias("reactions"), F.array("root_fid").alias("fids"), "root_text")
+    all_ = made.select("root", "blob", "reactions", "fids", "root_text").unionByName(summary)
+    return roots.select(F.col("hash").alias("root")).join(all_, "root", "left").select(
+        "root", "blob", "fids", F.coalesce("reactions", F.lit(0)).alias("reactions"), count(F.col("blob")).alias("tokens"), status_after(F.col("root_text")).alias("thread_status"),
+    )
+
+
+def of_author(posts: DataFrame, fid: int) -> DataFrame:
+    """root_hash of the threads in which an author takes part."""
+    return posts.where(F.col("fid") == fid).select("root_hash").distinct()
+
+
+def inline_quotes(posts: DataFrame, sources: DataFrame, profiles: DataFrame) -> DataFrame:
+    """hash, final_text: the older, flat form. The first quoted post's hash stands as a list of bytes in `embeds`; its text and author
+    take the place of links to posts, or come at the end. posts: hash, text, embeds. sources: hash (binary), fid, text."""
+    quoted = posts.withColumn("quoted", T.embedded_hash(F.col("embeds")))
+    named = sources.join(profiles, "fid", "left").select(F.col("hash").alias("quoted"), F.col("text").alias("q_text"), F.col("username").alias("q_name"))
+    q = F.concat_ws("", F.lit('QUOTE:["'), "q_text", F.lit('" - @'), "q_name", F.lit("]"))
+    both = quoted.join(named, "quoted", "left").withColumn("q", F.when(F.col("embeds").contains("castId"), q))
+    return both.select("hash", T.with_quote(F.col("text"), F.col("q")).alias("final_text"))

@@ -4,24 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .shared import cut
-
-#: The same text builds the model in both engines.
+_TREE = "CAST(floor(d.doc_id / 50.0) AS BIGINT)"
+#: The same text builds the model in both engines. Posts quote, mention and link up to twice; quotes make chains and, with 6 ahead, cycles.
 MODEL = {
     "users": "SELECT max(user_id) + 1 AS n_users FROM events",
-    "posts": """SELECT d.doc_id AS hash,
-        CASE WHEN d.doc_id % 50 = 0 THEN NULL ELSE CAST(floor(d.doc_id / 50.0) AS BIGINT) * 50 + CAST(floor((d.doc_id % 50 - 1) / 3.0) AS BIGINT) END AS parent_hash,
-        CAST(floor(d.doc_id / 50.0) AS BIGINT) * 50 AS root_hash,
-        (d.doc_id * 7 + CAST(floor(d.doc_id / 50.0) AS BIGINT)) % u.n_users AS fid,
-        substring(d.text, 1, 200) AS text, d.doc_id * 60 AS ts,
-        CASE WHEN d.doc_id % 7 = 0 AND d.doc_id >= 3 THEN d.doc_id - 3 END AS quoted,
+    "posts": f"""SELECT d.doc_id AS hash,
+        CASE WHEN d.doc_id % 50 = 0 THEN NULL ELSE {_TREE} * 50 + CAST(floor((d.doc_id % 50 - 1) / 3.0) AS BIGINT) END AS parent_hash,
+        {_TREE} * 50 AS root_hash, (d.doc_id * 7 + {_TREE}) % u.n_users AS fid,
+        d.text AS text, d.doc_id * 60 AS ts,
+        CASE WHEN d.doc_id < 3 THEN NULL WHEN d.doc_id % 7 = 0 THEN d.doc_id - 3 WHEN d.doc_id % 7 = 4 THEN d.doc_id - 2
+             WHEN d.doc_id % 7 = 2 THEN d.doc_id - 1 WHEN d.doc_id % 21 = 1 THEN d.doc_id + 6 END AS quoted,
+        CASE WHEN d.doc_id % 14 = 0 AND d.doc_id >= 5 THEN d.doc_id - 5 END AS quoted2,
         CASE WHEN d.doc_id % 5 = 0 THEN d.doc_id % u.n_users END AS mentioned,
+        CASE WHEN d.doc_id % 30 = 0 THEN d.doc_id % u.n_users WHEN d.doc_id % 10 = 0 THEN (d.doc_id + 3) % u.n_users END AS mentioned2,
         CASE WHEN d.doc_id % 11 = 0 THEN 'https://Site.example/p/' || CAST(d.doc_id AS VARCHAR(20)) END AS url,
-        CASE WHEN d.doc_id % 11 = 0 AND d.doc_id % 2 = 0 THEN substring(d.text, 1, 150) || ' https://site.example/P/' || CAST(d.doc_id AS VARCHAR(20)) ELSE substring(d.text, 1, 200) END AS linked_text
+        CASE WHEN d.doc_id % 22 = 0 THEN 'https://a.example/' || CAST(d.doc_id AS VARCHAR(20)) END AS url2,
+        CASE WHEN d.doc_id % 11 = 0 AND d.doc_id % 3 = 0 THEN d.text || ' https://site.example/P/' || CAST(d.doc_id AS VARCHAR(20)) ELSE d.text END AS linked_text
         FROM documents d CROSS JOIN users u""",
-    "reactions": "SELECT e.user_id AS fid, e.event_id % n.n AS target_hash, CASE e.event_type WHEN 'click' THEN 1 ELSE 2 END AS reaction_type FROM events e CROSS JOIN (SELECT count(*) AS n FROM documents) n WHERE e.event_type IN ('click', 'purchase')",
+    "reactions": """SELECT e.user_id AS fid, e.event_id % n.n AS target_hash, CASE e.event_type WHEN 'click' THEN 1 ELSE 2 END AS reaction_type
+        FROM events e CROSS JOIN (SELECT count(*) AS n FROM documents) n WHERE e.event_type IN ('click', 'purchase')""",
     "profiles": "SELECT DISTINCT user_id AS fid, 'user' || CAST(user_id AS VARCHAR(20)) AS username FROM events WHERE user_id % 37 <> 5",
-    "user_labels": "SELECT DISTINCT user_id AS target_fid, 'spam' AS label_type, CASE WHEN user_id % 5 <> 0 THEN '2' ELSE '0' END AS label_value FROM events",
+    "user_labels": """SELECT DISTINCT user_id AS target_fid, 'spam' AS label_type, CASE WHEN user_id % 5 <> 0 THEN '2' ELSE '0' END AS label_value FROM events
+        UNION ALL SELECT DISTINCT user_id, 'trust', CASE WHEN user_id % 11 = 3 THEN '2' ELSE 'x' END FROM events WHERE user_id % 11 < 5""",
 }
 
 
@@ -31,7 +35,7 @@ def oracle(*names: str) -> str:
 
 
 class Model:
-    """The model's tables over a folder of parquet tables, as lazy DataFrames."""
+    """The model's tables over a folder of parquet tables, as lazy DataFrames: columns are pruned, filters pushed down to the scan."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -40,12 +44,12 @@ class Model:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def _sql(self, name: str, **tables: DataFrame) -> DataFrame:
-        return self.spark.sql(MODEL[name].replace("documents", "{documents}").replace("FROM events", "FROM {events}").replace("CROSS JOIN users u", "CROSS JOIN {users} u"), **tables)
+        return self.spark.sql(MODEL[name].replace("FROM documents", "FROM {documents}").replace("FROM events", "FROM {events}").replace("CROSS JOIN users u", "CROSS JOIN {users} u"), **tables)
 
     @property
     def posts(self) -> DataFrame:
         users = self.spark.sql("SELECT max(user_id) + 1 AS n_users FROM {events}", events=self.raw("events"))
-        return cut(self._sql("posts", documents=self.raw("documents"), users=users))  # written once: joins would repeat its rules
+        return self._sql("posts", documents=self.raw("documents"), users=users)
 
     @property
     def reactions(self) -> DataFrame:
