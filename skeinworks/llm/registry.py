@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, lm_score, near_dedup, piece_sampling, pii, quality_net, quality_rules, range_coder, sharding, token_counts
+from . import decontamination, expressible, lm_score, near_dedup, piece_sampling, pii, quality_net, quality_rules, range_coder, sharding, token_counts
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,6 @@ QUERIES = {
         near_dedup.op5_dart_minhash, pii.op6_disclosure, piece_sampling.op7_gumbel_top_k, sharding.op8_jump_shards,
         quality_net.op9_byte_cnn, lm_score.op10_kneser_ney,
     )
-}
+} | expressible.QUERIES
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = expressible.ORACLE

@@ -3,7 +3,8 @@
 The key's 64-bit linear congruential sequence (Lamping and Veach) is stepped inside a higher-order
 fold, its products taken in 16-bit limbs so that nothing overflows under ANSI arithmetic. The shard
 depends on the key and the number of shards alone: no ring table, and a further shard takes keys only
-into itself. Null keys count as key 0; repeated keys share a shard; an empty table gives no rows.
+into itself. Integer ids are keys as they are, others by a 64-bit hash. Null keys count as key 0; repeated keys share a
+shard; null texts count as empty; an empty table gives no rows. Only id and text are read, so that no other column can clash.
 """
 
 from __future__ import annotations
@@ -47,19 +48,20 @@ def jump_shard(key: Column, shards: int) -> Column:
 def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row.
 
-    slot: gapless from 0 in each shard. Rows are ranked inside ranges of the key's hash, and the ranges'
-    sizes are summed up before: no shard is ever sorted by one task.
+    slot: gapless from 0 in each shard. Rows are ranked inside ranges of a hash of the key and the text, and the ranges' sizes are
+    summed up before: no shard is ever sorted by one task, and a key that a third of all rows share is dealt out by its texts.
     """
-    ids = pick(docs, doc_id=id_col)
-    mark = lambda d: d.withColumn("shard", jump_shard(F.col("doc_id"), shards)).withColumn("range", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit(7)), F.lit(RANGES)).cast("int"))
-    before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = mark(ids).groupBy("shard", "range").count().withColumn("first_slot", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-    rows = mark(pick(docs, doc_id=id_col, text=text_col)).select(
+    d = pick(docs, doc_id=id_col, text=text_col)
+    whole = d.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
+    key = F.coalesce(F.col("doc_id").cast("long") if whole else F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")), F.lit(0).cast("long"))
+    rows = d.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), "shard", "range",
-        jump_shard(F.col("doc_id"), shards + 1).alias("grown_shard"),
-    )
-    rank = F.row_number().over(Window.partitionBy("shard", "range").orderBy("doc_id", "size", "text_crc32"))
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), jump_shard(key, shards).alias("shard"),
+        jump_shard(key, shards + 1).alias("grown_shard"), key.alias("key"),
+    ).withColumn("range", F.pmod(F.xxhash64("key", "text_crc32", F.lit(7)), F.lit(RANGES)).cast("int"))
+    before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("shard", "range").count().withColumn("first_slot", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
+    rank = F.row_number().over(Window.partitionBy("shard", "range").orderBy("key", "size", "text_crc32"))
     # bounded: SHARDS * RANGES rows of three numbers
     return rows.withColumn("rank", rank).join(F.broadcast(starts), ["shard", "range"]).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",

@@ -287,6 +287,11 @@ def test_sharding(spark, docs, none):
         slots.setdefault(r.shard, []).append(r.slot)
     assert all(sorted(x) == list(range(len(x))) for x in slots.values())
     assert sharding.shard(none).count() == 0
+    named = spark.createDataFrame([("a", "x"), ("b", None), (None, "y"), ("a", "z")], "doc_id string, text string")
+    got = {(r.doc_id, r.size): (r.shard, r.grown_shard) for r in sharding.shard(named).collect()}
+    assert len(got) == 4 - 1 and got[None, 2] == (jump(0, 16), jump(0, 17)) and all(z in (a, 16) for a, z in got.values())
+    hot = spark.createDataFrame([(None, f"t{i}") for i in range(500)], "doc_id long, text string")
+    assert sorted(r.slot for r in sharding.shard(hot).collect()) == list(range(500))
 
 
 def test_quality_net(spark, docs, none):
