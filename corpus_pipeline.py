@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skeinworks.llm import decontamination, near_dedup, piece_sampling, pii, quality_net
-from skeinworks.llm._common import new_folder, table
+from skeinworks.llm._common import delete, new_folder, table
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +39,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written and read again."""
+    """All stages over the documents, each written and read again; a stage's table goes once the next one's stands. What the last stage
+    reads stays, for its rows are computed when they are asked for."""
     docs = table(spark, sf_dir, "documents")
-    folder = new_folder(spark, "pipeline")
+    folder, before = new_folder(spark, "pipeline"), None
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
