@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from . import tokens
 from ._common import Writer, cut, gather, kept_without, new_folder, open_file, pick, strings, table
 
-BLOCK, LANES, SLOTS = 2048, 8192, 256
+BLOCK, LANES = 2048, 8192
+#: Places of a block's tables: the highest eight bits of a hash.
+SLOTS = 256
 MAGIC = b"SKTOK002"
 TEXT_BYTES = 24 << 20  # of a file, about
 #: Text of which the ids are found at once; bounds a worker's memory.
@@ -276,7 +278,11 @@ def unpack(data: bytes | memoryview) -> tuple[list, np.ndarray, np.ndarray]:
         at += many * np.dtype(kind).itemsize
     null, doc_ids, sizes, many, lengths, sums = parts
     lengths = lengths.astype(np.int64)
-    ids = decode_blocks(np.frombuffer(data, "<u2", int(lengths.sum()), 16 + size), lengths, many.astype(np.int64))
+    try:
+        with np.errstate(all="ignore"):
+            ids = decode_blocks(np.frombuffer(data, "<u2", int(lengths.sum()), 16 + size), lengths, many.astype(np.int64))
+    except (IndexError, FloatingPointError) as e:  # words that no encoder writes
+        raise ValueError("the blocks are damaged") from e
     for i in range(k):
         if crc(ids[i * block : (i + 1) * block]) != sums[i]:
             raise ValueError(f"block {i} is damaged")
