@@ -137,13 +137,13 @@ def mentions_in(posts: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def quote_walk(seeds: DataFrame, posts: DataFrame, profiles: DataFrame, levels: int = 3) -> DataFrame:
     """hash, quoted, level, path of posts on quote chains from the seeds (hash); no post twice on a chain, each with a profile. posts: hash, fid, quotes (array)."""
-    known = cut(posts.join(profiles, "fid").select("hash", "quotes", "username"))
-    at = known.join(seeds.select("hash").distinct(), "hash", "left_semi").select("hash", "quotes", "username", F.lit(0).alias("level"), F.array("hash").alias("path"))
+    # whoever is on a chain is looked up, never all posts
+    known = lambda d: d.join(posts.select("hash", "fid", "quotes"), "hash").join(profiles, "fid")
+    at = cut(known(seeds.select("hash").distinct()).select("hash", "quotes", "username", F.lit(0).alias("level"), F.array("hash").alias("path")))
     out = at
     for level in range(1, levels + 1):
         to = at.select("path", F.explode(F.array_distinct("quotes")).alias("hash")).where(~F.array_contains("path", F.col("hash")))
-        at = to.join(known, "hash").select("hash", "quotes", "username", F.lit(level).alias("level"), F.array_append("path", F.col("hash")).alias("path"))
-        at = cut(at)
+        at = cut(known(to).select("hash", "quotes", "username", F.lit(level).alias("level"), F.array_append("path", F.col("hash")).alias("path")))
         out = out.unionAll(at)
     return out
 
@@ -187,8 +187,10 @@ def status_after(root_text):
 
 def hydrated(posts: DataFrame, profiles: DataFrame, seeds: DataFrame) -> DataFrame:
     """hash, hydrated: the seeds' texts, and those they quote, with mentions, quotes and urls; raw texts have no row."""
-    bodies = mentions_in(posts, profiles).select("hash", "body", T.tail(F.col("text"), F.coalesce("urls", F.array().cast("array<string>"))).alias("tail"))
-    texts = quote_texts(quote_walk(seeds, posts, profiles), bodies)
+    walk = quote_walk(seeds, posts, profiles)
+    some = posts.join(walk.select("hash").distinct(), "hash", "left_semi")
+    tail = T.tail(F.col("text"), F.coalesce("urls", F.array().cast("array<string>"))).alias("tail")
+    texts = quote_texts(walk, mentions_in(some, profiles).select("hash", "body", tail))
     return texts.select("hash", T.tidy(F.col("hydrated")).alias("hydrated"))
 
 
@@ -200,6 +202,7 @@ def build(posts: DataFrame, reactions: DataFrame, labels: DataFrame, profiles: D
     own = posts.where("parent_hash IS NULL AND hash = root_hash").select("hash")
     roots = own if roots is None else roots.select("hash")
     some = posts.join(roots.select(F.col("hash").alias("root_hash")), "root_hash", "left_semi")
+    reactions = reactions.join(some.select(F.col("hash").alias("target_hash")), "target_hash", "left_semi")
     counts = reaction_counts(reactions, labels)
     sizes = thread_sizes(some)
     big = cut(sizes.where(F.col("n_posts") > large))
