@@ -59,10 +59,11 @@ MENTION = r"@[a-z0-9_.-]+(?:(?<=[a-z0-9_])(?![\p{L}\p{N}_])|(?<=[.-])(?=[\p{L}\p
 def normalise(text: Column) -> Column:
     """What near-duplicate detection compares: lower case, without a leading name, mentions, links and signs, one space between words."""
     t = F.lower(F.coalesce(text, F.lit("")))
-    for pattern in (rf"^@[a-z0-9_.-]+:[{SPACE}]*", MENTION, rf"https?://[^{SPACE}]+"):
-        t = F.regexp_replace(t, pattern, "")
+    # most texts hold neither, and need no search
+    t = F.when(t.contains("@"), F.regexp_replace(F.regexp_replace(t, rf"^@[a-z0-9_.-]+:[{SPACE}]*", ""), MENTION, "")).otherwise(t)
+    t = F.when(t.contains("://"), F.regexp_replace(t, rf"https?://[^{SPACE}]+", "")).otherwise(t)
     t = F.trim(F.regexp_replace(t, f"[{SPACE}]+", " "))
-    return F.regexp_replace(t, r"[^\p{L}\p{N}_ #]", "")
+    return F.regexp_replace(t, r"[^\p{L}\p{N}_ #]+", "")
 
 
 def char_shingles(text: Column, n: int = 3) -> Column:

@@ -50,11 +50,23 @@ def canonicals(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
     norm = docs.select("hash", "ts", T.normalise(F.col("text")).alias("norm"))
     nodes = cut(norm.groupBy("norm").agg(F.min(F.struct("ts", "hash")).alias("node")))
     sig = cut(signatures(nodes).join(nodes.select("node", F.length("norm").alias("n")), "node"))
-    banded = bands(sig, threshold)
-    pairs = banded.alias("x").join(banded.alias("y"), "band").where("x.node < y.node").select(F.col("x.node").alias("early"), F.col("y.node").alias("node")).distinct()
-    same = agreement(F.col("signature"), F.col("other"))
-    near = pairs.join(sig, "node").join(sig.select(F.col("node").alias("early"), F.col("signature").alias("other")), "early")
-    edges = cut(near.where(same >= F.when(F.col("n") > 60, 0.95).otherwise(0.90)).select("node", "early"))
+    banded = cut(bands(sig, threshold))
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        near = pairs.distinct().join(sig, "node").join(sig.select(F.col("node").alias("early"), F.col("signature").alias("other")), "early")
+        return near.where(agreement(F.col("signature"), F.col("other")) >= F.when(F.col("n") > 60, 0.95).otherwise(0.90)).select("node", "early")
+
+    # a node that comes first in all its bands is canonical; whoever is near to such a one is none, and need not be met by others
+    first = banded.groupBy("band").agg(F.min("node").alias("early"), F.count("*").alias("n")).where("n > 1").select("band", "early")
+    behind = cut(banded.join(first, "band").where("node <> early"))
+    later = cut(behind.select("node").distinct())
+    heads = behind.join(later.withColumnRenamed("node", "early"), "early", "left_anti").select("node", "early")
+    told = cut(similar(heads).groupBy("node").agg(F.min("early").alias("early")))
+    open_ = later.join(told, "node", "left_anti")
+    left = banded.join(open_, "node", "left_semi").select("band", F.col("node").alias("early"))
+    meet = banded.join(later, "node", "left_semi").join(left, "band").where("early < node")
+    meet = meet.join(told.withColumnRenamed("early", "its"), "node", "left").where("its IS NULL OR early < its").select("node", "early")
+    edges = cut(similar(meet).unionAll(told))
     state = cut(nodes.select("node").join(edges.select("node").distinct().withColumn("open", F.lit(True)), "node", "left").select("node", F.when(F.col("open").isNull(), F.col("node")).alias("leader")))
     while not state.where("leader IS NULL").isEmpty():
         seen = edges.join(state.select(F.col("node").alias("early"), F.col("leader").alias("its")), "early")

@@ -157,10 +157,10 @@ _TIDY = "regexp_replace(regexp_replace({0}, 'https://(farcaster\\.xyz|warpcast\\
 def _plain(m: Model) -> DataFrame:
     """The preorder with texts that have mentions and links written in, but no quotes: those of posts that quote none; others raw."""
     posts = _arrays(m.posts)
-    bodies = threads.mentions_in(posts, m.profiles).where(F.size("quotes") == 0)
-    final = bodies.select("hash", T.tidy(F.concat("body", T.tail(F.col("text"), F.col("urls")))).alias("hydrated"))
-    order = threads.preorder(_kept(m)).join(posts.select("hash", "text"), "hash").join(final, "hash", "left")
-    return order.withColumn("final_text", F.coalesce("hydrated", "text"))
+    whole = F.concat("body", T.tail(F.col("text"), F.col("urls")))
+    final = F.when(F.size("quotes") == 0, T.tidy(whole)).otherwise(F.col("text"))
+    texts = threads.mentions_in(posts, m.profiles).select("hash", final.alias("final_text"))
+    return threads.preorder(_kept(m)).join(texts, "hash")
 
 
 _SHOWN = f"""{_TO_PRE}, {_BODY}, {_EDGES}, texts AS (SELECT p.hash, CASE WHEN p.hash IN (SELECT hash FROM edges) THEN p.text ELSE {_TIDY.format('b.body || b.tail')} END AS final_text FROM posts p JOIN bodies b USING (hash)),
