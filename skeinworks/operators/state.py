@@ -79,6 +79,12 @@ def run_batches(step: Callable[[int], int], max_batches: int | None = None, batc
         n += 1
 
 
+def elapsed(begin: Column, end: Column) -> Column:
+    """Seconds between two times, to hundredths."""
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    return F.round((micros(end) - micros(begin)) / 1_000_000, 2)
+
+
 def servers_for(backlog: int) -> int:
     """Model servers for a backlog."""
     return 0 if backlog <= 0 else 1 if backlog <= 5_000 else 2 if backlog <= 10_000 else 4

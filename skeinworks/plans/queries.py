@@ -520,3 +520,28 @@ def metric_summary(m: Model) -> DataFrame:
 @query("SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
 def daily_events(m: Model) -> DataFrame:
     return posts_stream.daily_counts(m.raw("events")).select(F.to_date("day").alias("day"), "event_type", "n")
+
+
+@query(f"{oracle('posts')} SELECT hash FROM posts WHERE list_contains([mentioned, mentioned2], 7)")
+def mentions_of(m: Model) -> DataFrame:
+    """Posts that mention an author: containment in an array."""
+    return _arrays(m.posts).where(F.array_contains("mentions", F.lit(7).cast("bigint"))).select("hash")
+
+
+@query(f"{oracle('posts', 'reactions', 'user_labels')}, {_COUNTS} SELECT hash, round(n_reactions / (SELECT count(*) FROM reactions), 9) AS share FROM counts")
+def reaction_share(m: Model) -> DataFrame:
+    """Each post's share of all reactions, these counted by a scalar subquery."""
+    total = m.reactions.agg(F.count("*")).scalar()
+    return threads.reaction_counts(m.reactions, m.user_labels).select("hash", F.round(F.col("n_reactions") / total, 9).alias("share"))
+
+
+@query("SELECT event_type, round(epoch(max(ts) - min(ts)), 2) AS elapsed FROM events GROUP BY event_type")
+def batch_elapsed(m: Model) -> DataFrame:
+    """Seconds from the first to the last event of each kind."""
+    return m.raw("events").groupBy("event_type").agg(state.elapsed(F.min("ts"), F.max("ts")).alias("elapsed"))
+
+
+@query("SELECT doc_id, upper(hex(encode(source))) AS digits, source AS back FROM documents")
+def hex_round_trip(m: Model) -> DataFrame:
+    digits = T.to_hex(F.encode("source", "UTF-8"))
+    return m.raw("documents").select("doc_id", F.upper(digits).alias("digits"), F.decode(T.from_hex(digits), "UTF-8").alias("back"))

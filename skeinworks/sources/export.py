@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from .shared import cut
@@ -16,6 +17,18 @@ NAME = "threads-part-%05d.parquet"
 WRITER = {"compression": "zstd", "parquet.compression.codec.zstd.level": "5", "parquet.enable.dictionary": "false", "parquet.page.size": str(1 << 20)}
 
 
+def fetched(df: DataFrame, rows: int = 250_000) -> Iterator[list[Row]]:
+    """The rows as lists of so many, a partition at a time on the driver: for readers that are no Spark jobs."""
+    held = []
+    for r in df.toLocalIterator(prefetchPartitions=True):
+        held.append(r)
+        if len(held) == rows:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def numbered(df: DataFrame, order: list[str], rows_per_file: int = ROWS_PER_FILE, row: str = "row", shard: str = "shard") -> DataFrame:
     """df with the columns `row` (0 on, in order) and `shard`: ranges are sorted apart, their sizes summed up, so that no task sorts all."""
     if {row, shard} & set(df.columns):

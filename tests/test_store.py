@@ -279,5 +279,6 @@ def test_export(store, spark, tmp_path):
     assert export.export(one, f"file://{tmp_path}/one", ["id"], 9, "p-%05d.parquet") == ["p-00000.parquet"]
     with pytest.raises(ValueError):
         export.numbered(one, ["id"])
+    assert [len(x) for x in export.fetched(spark.range(10), 4)] == [4, 4, 2]
     export.export_pages(one, f"file://{tmp_path}/pages", ["id"], 2)
     assert spark.read.parquet(f"file://{tmp_path}/pages").count() == 5
