@@ -49,7 +49,8 @@ def tidy(text: Column, hosts: tuple[str, ...] = HOSTS) -> Column:
 
 
 def line(depth: Column, username: Column, text: Column) -> Column:
-    return F.when(depth == 0, F.concat_ws("", F.lit("@"), username, F.lit(": "), text)).otherwise(F.concat_ws("", F.lit("~"), depth.cast("string"), F.lit(": @"), username, F.lit(": "), text))
+    level = F.when(depth > 0, F.concat(F.lit("~"), depth.cast("string"), F.lit(": ")))
+    return F.concat_ws("", level, F.lit("@"), username, F.lit(": "), text)
 
 
 #: A mention ends where a word does, or begins.
@@ -68,7 +69,14 @@ def normalise(text: Column) -> Column:
 
 def char_shingles(text: Column, n: int = 3) -> Column:
     short = F.array_distinct(F.concat(F.filter(F.split(text, r"\s+"), lambda w: w != ""), F.array(text)))
-    return F.when(F.length(text) < n, short).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - n + 1)), lambda i: F.substring(text, i, F.lit(n)))))
+
+    def grams(chars: Column) -> Column:
+        first = F.slice(chars, F.lit(1), F.greatest(F.size(chars) - n + 1, F.lit(0)))
+        return F.array_distinct(F.transform(first, lambda c, i: F.concat(c, *[F.get(chars, i + k) for k in range(1, n)])))
+
+    # cut into characters once: a substring would walk through the text for each place
+    long = F.get(F.transform(F.array(F.split(text, "")), grams), F.lit(0))
+    return F.when(F.length(text) < n, short).otherwise(long)
 
 
 def embed_text(text: Column) -> Column:

@@ -88,7 +88,8 @@ def unpacked(raw: Column) -> Column:
 
 def checked(vector: Column, size: int) -> Column:
     """The vector; an error if it has another number of values."""
-    return F.when(vector.isNull() | (F.size(vector) == size), vector).otherwise(F.raise_error(F.concat(F.lit(f"a vector of {size} values was expected, not of "), F.size(vector).cast("string"))))
+    message = F.concat(F.lit(f"a vector of {size} values was expected, not of "), F.size(vector).cast("string"))
+    return F.when(vector.isNull() | (F.size(vector) == size), vector).otherwise(F.raise_error(message))
 
 
 def parsed(text: Column) -> Column:

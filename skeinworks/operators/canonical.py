@@ -21,16 +21,30 @@ def banding(threshold: float) -> tuple[int, int]:
     return (16, 8) if threshold >= 0.9 else (21, 6) if threshold >= 0.8 else (32, 4)
 
 
+def shingle_ids(text: str) -> np.ndarray:
+    """A number for each distinct three-character shingle; of shorter texts, for each word and the text."""
+    if len(text) < 3:
+        return np.array(sorted({int.from_bytes(w.encode(), "little") | 1 << 63 for w in [*text.split(), text]}), np.uint64)
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    return np.unique(c[:-2] | c[1:-1] << np.uint64(21) | c[2:] << np.uint64(42))
+
+
 def signatures(docs: DataFrame, perms: int = PERMS) -> DataFrame:
     """node, signature (perms longs) of node, norm."""
     r = np.random.default_rng(11)
     a, b = r.integers(1, 2**61, perms, dtype=np.uint64) | np.uint64(1), r.integers(0, 2**61, perms, dtype=np.uint64)
 
+    def sign_one(text: str) -> np.ndarray:
+        x = shingle_ids(text)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+        return ((x[:, None] * a + b) >> np.uint64(32)).min(0).astype(np.int64)
+
     @F.pandas_udf("array<bigint>")
-    def sign(hashes: pd.Series) -> pd.Series:
-        return hashes.map(lambda h: ((np.asarray(h, np.int64).view(np.uint64)[:, None] * a + b) >> np.uint64(32)).min(0).astype(np.int64))
+    def sign(texts: pd.Series) -> pd.Series:
+        return texts.map(sign_one)
 
-    return docs.select("node", sign(F.transform(T.char_shingles(F.col("norm")), lambda s: F.xxhash64(s))).alias("signature"))
+    return docs.select("node", sign("norm").alias("signature"))
 
 
 def bands(signed: DataFrame, threshold: float) -> DataFrame:
@@ -67,19 +81,23 @@ def canonicals(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
     meet = banded.join(later, "node", "left_semi").join(left, "band").where("early < node")
     meet = meet.join(told.withColumnRenamed("early", "its"), "node", "left").where("its IS NULL OR early < its").select("node", "early")
     edges = cut(similar(meet).unionAll(told))
-    state = cut(nodes.select("node").join(edges.select("node").distinct().withColumn("open", F.lit(True)), "node", "left").select("node", F.when(F.col("open").isNull(), F.col("node")).alias("leader")))
+    waiting = edges.select("node").distinct().withColumn("open", F.lit(True))
+    state = cut(nodes.select("node").join(waiting, "node", "left").select("node", F.when(F.col("open").isNull(), F.col("node")).alias("leader")))
     while not state.where("leader IS NULL").isEmpty():
         seen = edges.join(state.select(F.col("node").alias("early"), F.col("leader").alias("its")), "early")
         # the earliest canonical neighbour counts once no neighbour before it is open
         first = seen.groupBy("node").agg(F.min(F.when(F.col("its").isNull(), F.col("early"))).alias("open"), F.min(F.when(F.col("its") == F.col("early"), F.col("early"))).alias("found"))
-        told = first.select("node", F.when(F.col("found").isNotNull() & (F.col("open").isNull() | (F.col("found") < F.col("open"))), F.col("found")).when(F.col("open").isNull(), F.col("node")).alias("new"))
+        sure = F.col("found").isNotNull() & (F.col("open").isNull() | (F.col("found") < F.col("open")))
+        told = first.select("node", F.when(sure, F.col("found")).when(F.col("open").isNull(), F.col("node")).alias("new"))
         state = cut(state.join(told, "node", "left").select("node", F.coalesce("leader", "new").alias("leader")))
     return norm.join(nodes, "norm").join(state, "node").select("hash", F.col("leader.hash").alias("canonical_hash"))
 
 
 def report(result: DataFrame) -> DataFrame:
     """n_total, n_unique, n_duplicates, rate in percent."""
-    return result.agg(F.count("*").alias("n_total"), F.count_distinct("canonical_hash").alias("n_unique")).select("n_total", "n_unique", (F.col("n_total") - F.col("n_unique")).alias("n_duplicates"), F.round(100.0 * (F.col("n_total") - F.col("n_unique")) / F.col("n_total"), 4).alias("rate"))
+    counts = result.agg(F.count("*").alias("n_total"), F.count_distinct("canonical_hash").alias("n_unique"))
+    twice = F.col("n_total") - F.col("n_unique")
+    return counts.select("n_total", "n_unique", twice.alias("n_duplicates"), F.round(100.0 * twice / F.col("n_total"), 4).alias("rate"))
 
 
 def largest(result: DataFrame, n: int) -> DataFrame:

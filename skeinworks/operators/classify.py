@@ -50,8 +50,14 @@ def by_rules(prompt: str, nth: int = 0) -> str:
         else "market-alert" if has("price", "exploit") else "project-update" if has("release", "launch", "shipped") else "advice-giving" if has("tip", "should", "recommend")
         else "creation-showcase" if has("i made", "my art", "i built") else "noise" if len(first) < 20 else "opinion-stating"
     )
-    value = "economic-value" if has("airdrop", "token", "bounty") else "knowledge-transfer" if kind in ("question-seeking", "advice-giving") else "emotional-energy" if has("love", "thank") else "social-capital" if replies else "none"
-    pattern = "information-seeking" if kind == "question-seeking" else "debate" if has("disagree", "wrong") else "show-and-tell" if kind in ("creation-showcase", "project-update") else "problem-solving" if has("fix", "bug") else "social-bonding"
+    value = (
+        "economic-value" if has("airdrop", "token", "bounty") else "knowledge-transfer" if kind in ("question-seeking", "advice-giving")
+        else "emotional-energy" if has("love", "thank") else "social-capital" if replies else "none"
+    )
+    pattern = (
+        "information-seeking" if kind == "question-seeking" else "debate" if has("disagree", "wrong")
+        else "show-and-tell" if kind in ("creation-showcase", "project-update") else "problem-solving" if has("fix", "bug") else "social-bonding"
+    )
     return f"thread_type:{kind}\nvalue_exchange:{value}\ninteraction_pattern:{pattern}"
 
 

@@ -117,8 +117,9 @@ BINARY, FLOAT = Stage(), Stage(3, 4, 5, False)
 
 
 def embed_threads(
-    store: Store, stage: Stage = BINARY, encoder: Encoder = hashing_encoder, batch_size: int = BATCH, max_batches: int | None = None, dimension: int = DIMENSION, sleep: Callable[[float], None] = time.sleep
-) -> list[dict[str, int]]:
+    store: Store, stage: Stage = BINARY, encoder: Encoder = hashing_encoder, batch_size: int = BATCH, max_batches: int | None = None,
+    dimension: int = DIMENSION, sleep: Callable[[float], None] = time.sleep,
+) -> list[dict[str, int]]:
     """Claims the newest threads that are ready and no spam, stores their vectors, and settles their states; the counts of each batch.
 
     A batch that dies goes back to the state before the claim. After MAX_ERRORS batches in a row that fail as a whole, it stops.

@@ -101,6 +101,6 @@ def summary(rows: DataFrame, key: str, value: str, share: float = 0.95) -> DataF
     at = (F.col("some") - 1) * F.lit(share)
     both = upto.join(base.select(key, "some"), key)
     near = lambda place, name: F.min(F.when(F.col("upto") > place, F.col(value))).alias(name)
-    found = both.groupBy(key).agg(near(F.floor(at), "a"), near(F.ceil(at), "b"), F.first(at - F.floor(at)).alias("part"))
-    p95 = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
+    found = both.groupBy(key).agg(near(F.floor(at), "a"), near(F.ceil(at), "b"), F.first(F.ceil(at) - at).alias("down"), F.first(at - F.floor(at)).alias("up"))
+    p95 = F.when(F.col("up") == 0, F.col("a")).otherwise(F.col("down") * F.col("a") + F.col("up") * F.col("b"))
     return base.join(found, key, "left").select(key, "n", "mean_value", p95.alias("p95"), "low", "high")

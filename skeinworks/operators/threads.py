@@ -196,7 +196,10 @@ def hydrated(posts: DataFrame, profiles: DataFrame, seeds: DataFrame) -> DataFra
     return texts.select("hash", T.tidy(F.col("hydrated")).alias("hydrated"))
 
 
-def build(posts: DataFrame, reactions: DataFrame, labels: DataFrame, profiles: DataFrame, roots: DataFrame | None = None, large: int = LARGE, floor: int = 2, count=T.pretoken_count) -> DataFrame:
+def build(
+    posts: DataFrame, reactions: DataFrame, labels: DataFrame, profiles: DataFrame, roots: DataFrame | None = None,
+    large: int = LARGE, floor: int = 2, count=T.pretoken_count,
+) -> DataFrame:
     """root, blob, fids, reactions, tokens, thread_status of every root, or of those given (hash). posts also: mentions, positions, quotes, urls (arrays).
 
     Threads of more than `large` posts get their root's text and a note. count: a text's number of tokens, as a column function.

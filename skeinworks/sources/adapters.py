@@ -44,7 +44,8 @@ class Model:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def _sql(self, name: str, **tables: DataFrame) -> DataFrame:
-        return self.spark.sql(MODEL[name].replace("FROM documents", "FROM {documents}").replace("FROM events", "FROM {events}").replace("CROSS JOIN users u", "CROSS JOIN {users} u"), **tables)
+        sql = MODEL[name].replace("CROSS JOIN users u", "CROSS JOIN {users} u")
+        return self.spark.sql(sql.replace("FROM documents", "FROM {documents}").replace("FROM events", "FROM {events}"), **tables)
 
     @property
     def posts(self) -> DataFrame:

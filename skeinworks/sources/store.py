@@ -15,11 +15,18 @@ from .shared import delete
 
 #: The columns of the tables, as far as any operator reads or writes them.
 TABLES = {
-    "casts": "id bigint, hash binary, parent_hash binary, root_hash binary, fid bigint, text string, embeds string, urls array<string>, quotes array<binary>, mentions array<bigint>, positions array<int>, ts timestamp, threads_status smallint, media_status smallint, embedding384 array<tinyint>, claimed_at timestamp",
+    "casts": (
+        "id bigint, hash binary, parent_hash binary, root_hash binary, fid bigint, text string, embeds string, urls array<string>, quotes array<binary>, "
+        "mentions array<bigint>, positions array<int>, ts timestamp, threads_status smallint, media_status smallint, embedding384 array<tinyint>, claimed_at timestamp"
+    ),
     "reactions": "fid bigint, target_hash binary, reaction_type smallint",
     "profiles": "fid bigint, username string",
     "user_labels": "target_fid bigint, label_type string, label_value string",
-    "threads": "hash binary, author_fid bigint, ts timestamp, spam smallint, thread_status smallint, blob string, fids array<bigint>, reactions bigint, tokens int, blob_ts timestamp, blob_embedding array<float>, blob_embedding_binary binary, canonical_hash binary, thread_type string, value_exchange string, interaction_pattern string, classified_at timestamp",
+    "threads": (
+        "hash binary, author_fid bigint, ts timestamp, spam smallint, thread_status smallint, blob string, fids array<bigint>, reactions bigint, tokens int, "
+        "blob_ts timestamp, blob_embedding array<float>, blob_embedding_binary binary, canonical_hash binary, thread_type string, value_exchange string, "
+        "interaction_pattern string, classified_at timestamp"
+    ),
     "media": "url string, summary string, media_type string, media_status smallint, claimed_at timestamp",
     "catalog": "frames_url string, title string, description string, tags array<string>, raw_data string, last_updated timestamp",
 }
