@@ -20,7 +20,7 @@ BUCKETS = 8192
 #: Added to each cell, as a share of an even spread of the trusted mass.
 SMOOTH = 0.05
 THRESHOLD = -0.35
-SPACE = r"[\x20\x09-\x0D]+"
+SPACE, BLANKS, SYMBOLS = r"[\x20\x09-\x0D]+", " \t\n\x0b\x0c\r", "#*$%&|<>"
 GRAM = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]+"
 
 
@@ -28,6 +28,13 @@ def word_list(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
+def without(text: Column, signs: str) -> Column:
+    """The text without these ASCII signs: a byte search for each, which leaves a text that has none as it is."""
+    for sign in signs:
+        text = F.replace(text, F.lit(sign), F.lit(""))
+    return text
+
+
 def _once(value: Column, f) -> Column:
     """f(value) with the value computed once: a lambda's variable, where a plain use inside a lambda would compute it for each element."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
@@ -80,13 +87,13 @@ def rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, id_
     d = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
     t = trusted.select(F.coalesce("text", F.lit("")).alias("text"))
     w = weights(d, t).scalar()
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
+    lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     out = d.select(
         "doc_id", "text", word_list(F.col("text")).alias("words"), cells(F.col("text")).alias("cells"), w.alias("weights"),
     ).select(
         "doc_id", F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        F.length(without(F.col("text"), BLANKS)).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
         F.size("cells").cast("long").alias("n_cells"),
