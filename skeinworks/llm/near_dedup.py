@@ -13,7 +13,8 @@ rows with that over the size of a block. A class is a connected component of lin
 the start. At similarity 0.8, 36 bands of 6 miss a pair with probability 2e-5, unless other texts hold it together.
 
 Null texts count as empty; empty texts are equal to each other and near to nothing else; texts of one to four words have
-one shingle. Repeated rows and ids are each returned.
+one shingle. Repeated rows and ids are each returned; an empty table yields no rows. Only id and text are read, and rows that are
+kept stay whole, so that no other column can clash.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ on are marked wherever they stand in a text with that entity, and in a rewritten
 to their kind.
 
 Null and empty texts have no spans; repeated rows and ids each have their own. Offsets are code points, ends exclusive.
-A corpus of one text, or an entity that all texts hold, discloses nothing (IC 0).
+A corpus of one text, or an entity that all texts hold, discloses nothing (IC 0). Of terms in equal degree all are marked that reach
+DISCLOSURE. An empty table yields no rows. Columns of one's own get names that the table lacks.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ corpus, give each cell the weight log(p_target / p_raw). A text's score is the m
 so length does not count, and a fixed threshold decides on every document.
 
 Null and empty texts: no words, all counts 0, base_failed. No trusted row at all: the weights are about 0,
-only the base rules decide. Repeated rows are each judged.
+only the base rules decide. Repeated rows are each judged; an empty table yields no rows. Only id and text are read, so that no
+other column can clash.
 """
 
 from __future__ import annotations
