@@ -127,13 +127,14 @@ def thread_sizes(posts: DataFrame) -> DataFrame:
 
 
 def mentions_in(posts: DataFrame, profiles: DataFrame) -> DataFrame:
-    """The posts, one row a hash, with `tags` and `body`: the text with @username at each mention's byte offset. posts: hash, text, mentions,
-    positions (arrays). A name is written in once a post, at its first place; texts are shuffled once, to meet their tags."""
+    """The posts with `tags` and `body`: the text with @username at each mention's byte offset. posts: hash, text, mentions,
+    positions (arrays). A name is written in once a post, at its first place, even if the post comes twice; texts are shuffled once, to
+    meet their tags."""
     place = F.transform(F.arrays_zip("mentions", "positions"), lambda m, i: F.struct(m["mentions"].alias("fid"), T.byte_to_char(F.col("text"), m["positions"]).alias("pos"), i.alias("i")))
     each = posts.where(F.size("mentions") > 0).select("hash", F.explode(place).alias("m")).select("hash", "m.*")
     tags = each.join(profiles, "fid").withColumn("tag", F.concat(F.lit("@"), "username")).groupBy("hash", "tag").agg(F.min(F.struct("pos", "i")).alias("at"))
     sorted_ = F.sort_array(F.collect_list(F.struct(F.col("at.pos").alias("pos"), F.col("at.i").alias("i"), "tag")))
-    both = posts.join(tags.groupBy("hash").agg(sorted_.alias("tags")), "hash", "left").dropDuplicates(["hash"])
+    both = posts.join(tags.groupBy("hash").agg(sorted_.alias("tags")), "hash", "left")
     return both.withColumn("body", F.when(F.col("tags").isNull(), F.col("text")).otherwise(T.inject(F.col("text"), F.col("tags"))))
 
 
