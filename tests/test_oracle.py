@@ -7,6 +7,7 @@ import os
 import duckdb
 import pytest
 
+from skeinworks.plans import procedures  # noqa: F401  registers its queries
 from skeinworks.plans import queries as plans
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
