@@ -15,6 +15,8 @@ from ..functions import text as T
 from ..sources.shared import cut
 
 PERMS = 128
+#: Nodes of a band that one part holds, about; two parts are compared in one task.
+BLOCK = 512
 
 
 def banding(threshold: float) -> tuple[int, int]:
@@ -59,6 +61,35 @@ def agreement(a, b):
     return F.size(F.filter(F.zip_with(a, b, lambda p, q: p == q), lambda e: e)) / F.size(a)
 
 
+def _near(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of a cell's rows the pairs of an open node and a later one that are similar enough; across its two parts, or in its one."""
+    rows = rows.sort_values(["ts", "hash"], ignore_index=True)
+    sig, part = np.stack(rows["signature"].to_numpy()).astype(np.uint32), rows["part"].to_numpy()
+    need, two = np.where(rows["n"].to_numpy() > 60, 0.95, 0.90), part.min() != part.max()
+    late, early = [], []
+    for i in np.flatnonzero(rows["open"].to_numpy()):
+        ok = (sig[i + 1 :] == sig[i]).mean(1) >= need[i + 1 :]
+        hit = i + 1 + np.flatnonzero(ok & (part[i + 1 :] != part[i]) if two else ok)
+        late.append(hit)
+        early.append(np.full(len(hit), i))
+    late, early = (np.concatenate(x) if x else np.empty(0, int) for x in (late, early))
+    of = lambda at, c: rows[c].to_numpy()[at]
+    return pd.DataFrame({"ts": of(late, "ts"), "hash": of(late, "hash"), "early_ts": of(early, "ts"), "early_hash": of(early, "hash")})
+
+
+def _met(members: DataFrame) -> DataFrame:
+    """node, early of the similar pairs whose earlier node is open. members: band, node, n, signature, open. A band's nodes are dealt into parts of
+    about BLOCK, and each two parts meet in one task; pairs are compared there, and only links come out."""
+    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    at = members.join(sizes, "band").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    others = F.sequence(F.lit(0), F.col("parts") - 1)
+    cell = F.explode(F.transform(others, lambda q: F.xxhash64("band", F.least("part", q), F.greatest("part", q)))).alias("cell")
+    kinds = {f.name: f.dataType.simpleString() for f in members.schema["node"].dataType}
+    schema = f"ts {kinds['ts']}, hash {kinds['hash']}, early_ts {kinds['ts']}, early_hash {kinds['hash']}"
+    found = at.select(cell, "part", "node.ts", "node.hash", "n", "signature", "open").groupBy("cell").applyInPandas(_near, schema)
+    return found.distinct().select(F.struct("ts", "hash").alias("node"), F.struct(F.col("early_ts").alias("ts"), F.col("early_hash").alias("hash")).alias("early"))
+
+
 def canonicals(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
     """hash, canonical_hash. docs: hash, ts, text."""
     norm = docs.select("hash", "ts", T.normalise(F.col("text")).alias("norm"))
@@ -77,10 +108,8 @@ def canonicals(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
     heads = behind.join(later.withColumnRenamed("node", "early"), "early", "left_anti").select("node", "early")
     told = cut(similar(heads).groupBy("node").agg(F.min("early").alias("early")))
     open_ = later.join(told, "node", "left_anti")
-    left = banded.join(open_, "node", "left_semi").select("band", F.col("node").alias("early"))
-    meet = banded.join(later, "node", "left_semi").join(left, "band").where("early < node")
-    meet = meet.join(told.withColumnRenamed("early", "its"), "node", "left").where("its IS NULL OR early < its").select("node", "early")
-    edges = cut(similar(meet).unionAll(told))
+    members = banded.join(later, "node", "left_semi").join(open_.withColumn("open", F.lit(True)), "node", "left")
+    edges = cut(_met(members.join(sig, "node").select("band", "node", "n", "signature", F.coalesce("open", F.lit(False)).alias("open"))).unionAll(told))
     waiting = edges.select("node").distinct().withColumn("open", F.lit(True))
     state = cut(nodes.select("node").join(waiting, "node", "left").select("node", F.when(F.col("open").isNull(), F.col("node")).alias("leader")))
     while not state.where("leader IS NULL").isEmpty():

@@ -120,8 +120,10 @@ def test_token_counts(spark):
     assert (totals.n_rows, totals.n_tokens, totals.mean_tokens) == (3, 3, 1.0)
 
 
-def test_canonicals(spark):
-    """Against leaders found one text after the other."""
+@pytest.mark.parametrize("block", [512, 7])
+def test_canonicals(spark, monkeypatch, block):
+    """Against leaders found one text after the other, in one block and in many."""
+    monkeypatch.setattr(canonical, "BLOCK", block)
     r = np.random.default_rng(8)
     base = [" ".join(f"w{x}" for x in r.integers(0, 900, 60)) for _ in range(12)]
     texts = ["Hello world, this is thread one", "@amy: hello WORLD this is thread one!!", None, "", "..."]
