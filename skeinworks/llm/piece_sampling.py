@@ -477,5 +477,5 @@ def sample(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str =
 
 
 def op7_gumbel_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K sampled segmentations of every document, by digests of their ids."""
-    return sample(table(spark, sf_dir, "documents"), keep_ids=False).drop("ids")
+    """K sampled segmentations of every document: their ids, and digests of them."""
+    return sample(table(spark, sf_dir, "documents"))

@@ -1,6 +1,7 @@
 """Sampled segmentations against all segmentations of small texts, and a plain A* search."""
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -79,3 +80,14 @@ def test_a_text_does_not_depend_on_its_batch():
     apart = [r | {"doc_id": i} for i, t in enumerate(texts) for r in drawn([t], [i], 4)]
     assert together == apart
     assert all(r["decodes"] for r in together)
+
+
+def test_query_returns_the_segmentations(spark, tmp_path):
+    v, texts = ps.vocabulary(), {1: "the first text", 2: "", 3: None, 4: "zwei  Wörter\n万", 5: "long " * 300}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = ps.op7_gumbel_top_k(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in rows) == {1: 2, 2: 1, 3: 1, 4: 2, 5: 2}
+    for r in rows:
+        ids = np.array(r.ids, np.int64)
+        assert len(ids) == r.n_pieces and zlib.crc32(ids.astype("<u4").tobytes()) == r.ids_crc32
+        assert v.decode(ids).tobytes().decode()[1:] == (texts[r.doc_id] or "")
