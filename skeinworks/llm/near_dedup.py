@@ -242,7 +242,9 @@ def links(nodes: DataFrame, texts: DataFrame, similarity: float, keep: Scratch,
     """
     rows = nodes.select("node", F.explode("bands").alias("band"))
     leaders = rows.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "leader")
-    near = keep.put(rows.join(leaders, "band").where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    # a node's leaders hang together by the smallest of them: an edge for the node and one for each two leaders met, not one for each band
+    held = rows.join(leaders, "band").groupBy("node").agg(F.collect_set("leader").alias("all")).select(F.array_union("all", F.array("node")).alias("all"))
+    near = keep.put(held.select(F.array_min("all").alias("a"), F.explode("all").alias("b")).where("a <> b").distinct())
     grouped = keep.put(components(near, keep).join(nodes.select("node", "size"), "node"))
     big = grouped.groupBy("root").agg(((F.count("*") > NODES) | (F.sum("size") > WEIGHT)).alias("big"))
     # sizes two grades apart differ by more than the similarity lets them
@@ -270,19 +272,28 @@ def links(nodes: DataFrame, texts: DataFrame, similarity: float, keep: Scratch,
 
 
 def components(edges: DataFrame, keep: Scratch) -> DataFrame:
-    """node, root of every node with an edge: smallest labels spread along the edges, with pointer jumping, until none changes."""
-    both = keep.put(edges.union(edges.select("b", "a")).toDF("node", "other"))
-    label = keep.put(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root")))
+    """node, root (the smallest node) of every node with an edge. In rounds: each node takes the label of its smallest neighbour, if smaller,
+    then that one's label; edges between different labels are the next round's, each once, until none is left. No round has more edges
+    than the one before, and each node's label is followed from the last round back to the first."""
+    edges, rounds = keep.put(edges.select("a", "b")), []
     while True:
-        heard = both.join(label.select(F.col("node").alias("other"), "root"), "other").select("node", "root")
-        low = heard.union(label).groupBy("node").agg(F.min("root").alias("root"))
-        jump = low.join(label.select(F.col("node").alias("root"), F.col("root").alias("far")), "root", "left").select("node", F.least("root", F.coalesce("far", "root")).alias("root"))
-        new = keep.put(jump)
-        same = new.join(label.withColumnRenamed("root", "old"), "node").where("root <> old").isEmpty()
-        keep.drop(label, *[both] * same)
-        if same:
-            return new
-        label = new
+        both = edges.union(edges.select("b", "a")).toDF("node", "other")
+        low = keep.put(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root")))
+        label = keep.put(low.join(low.toDF("root", "far"), "root").select("node", F.col("far").alias("root")))
+        ends = edges.join(label.toDF("a", "x"), "a").join(label.toDF("b", "y"), "b").where("x <> y")
+        left = keep.put(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        keep.drop(low, edges)
+        rounds.append(label)
+        edges = left
+        if left.isEmpty():
+            break
+    keep.drop(edges)
+    out = rounds.pop()
+    while rounds:
+        label, later = rounds.pop(), out
+        out = keep.put(label.join(later.toDF("root", "far"), "root", "left").select("node", F.coalesce("far", "root").alias("root")))
+        keep.drop(label, later)
+    return out
 
 
 def near_duplicates(

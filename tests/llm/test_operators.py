@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skeinworks.llm import decontamination, lm_score, near_dedup, piece_sampling, pii, quality_net, quality_rules, range_coder, sharding, token_counts, tokens
 
@@ -199,6 +200,54 @@ def test_link_counts(spark, monkeypatch, block, weights):
     assert {x.doc_id: x.n_links for x in got.collect()} == {i: want[i] for i in range(len(texts))}
 
 
+def test_candidates_of_a_large_group(spark, monkeypatch):
+    """Edges between candidates are about as many as nodes, however many bands the nodes of a group share, and rounds do not repeat them."""
+    r, seen, written = random.Random(13), [], []
+    components, put = near_dedup.components, near_dedup.Scratch.put
+
+    def counted(edges, keep):
+        seen.append((edges.count(), edges.select(F.explode(F.array("a", "b"))).distinct().count()))
+        at = len(written)
+        out = components(edges, keep)
+        seen[-1] += (sum(d.count() for d in written[at:]),)
+        return out
+
+    def stored(self, df):
+        out = put(self, df)
+        written.append(out.persist())
+        out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "components", counted)
+    monkeypatch.setattr(near_dedup.Scratch, "put", stored)
+    hub = [f"g{i}" for i in range(200)]
+    texts = []
+    for k in range(400):
+        own = list(hub)
+        for at in r.sample(range(5, 195, 8), 3):
+            own[at] = f"d{k}_{at}"
+        texts.append(" ".join(own))
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    edges, nodes, rows = seen[0]
+    assert {x.class_id for x in got.collect()} == {0}
+    assert nodes == 400 and edges <= 2 * nodes and rows <= 8 * nodes
+
+
+def test_components(spark):
+    r = random.Random(14)
+    for edges in ([(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 40)], [(r.randrange(300), r.randrange(300, 600)) for _ in range(260)], []):
+        root = list(range(600))
+        for _ in range(600):
+            was = list(root)
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+            if root == was:
+                break
+        keep = near_dedup.Scratch(spark, "edges")
+        got = near_dedup.components(spark.createDataFrame(edges, "a long, b long"), keep).collect()
+        assert sorted(map(tuple, got)) == sorted((i, root[i]) for i in {x for e in edges for x in e})
+
+
 def test_classes_without_ids_of_their_own(docs, spark):
     """Null and repeated ids do not make one class of several."""
     kept = near_dedup.drop_near_duplicates(docs).collect()
