@@ -220,7 +220,7 @@ class Lattice:
         self.char = np.repeat(chars[by].astype(np.int32), count)
         self.to = np.where(length < np.repeat(left[by], count), node_of[np.minimum(np.repeat(by, count) + length, max(0, len(chars) - 1))], 0).astype(np.int32) if len(length) else length
         many_of = np.diff(self.first)
-        self.logp, self.p, self.log_rest = (np.empty(len(length)) for _ in range(3))
+        self.logp, self.p, self.rest = (np.empty(len(length)) for _ in range(3))
         value, beta = v.weight[self.ids], np.zeros(len(chars) + 1)
         for a, b in zip(levels[:-1], levels[1:], strict=True):
             if a == b:
@@ -228,20 +228,24 @@ class Lattice:
             lo, hi = self.first[a], self.first[b]
             many, at = many_of[a:b], self.first[a:b] - lo
             x = value[lo:hi] + beta[self.to[lo:hi]]
-            top = np.maximum.reduceat(x, at)
-            x -= np.repeat(top, many)
+            top, of = np.maximum.reduceat(x, at), np.repeat(np.arange(b - a), many)
+            x -= top[of]
             mass = np.exp(x)
             # what all but the likeliest edge hold is summed up apart: 1 - p would lose it
-            best = x == 0
-            others = np.add.reduceat(np.where(best, 0.0, mass), at)
-            total = others + np.add.reduceat(best, at)
-            beta[a:b] = top + np.log(total)
-            self.logp[lo:hi] = x - np.repeat(np.log(total), many)
-            p = mass / np.repeat(total, many)
+            best = np.flatnonzero(x == 0)
+            ones, apart = np.bincount(of[best], minlength=b - a), mass.copy()
+            apart[best] = 0
+            others = np.add.reduceat(apart, at)
+            total = others + ones
+            log_total = np.log(total)
+            beta[a:b] = top + log_total
+            self.logp[lo:hi] = x - log_total[of]
+            p = mass / total[of]
             self.p[lo:hi] = p
-            rest = np.where(best & np.repeat(total - others < 1.5, many), np.repeat(others / total, many), 1 - p)
-            with np.errstate(divide="ignore"):
-                self.log_rest[lo:hi] = np.log(rest)
+            rest = 1 - p
+            one = best[(total - others < 1.5)[of[best]]]
+            rest[one] = (others / total)[of[one]]
+            self.rest[lo:hi] = rest
 
     def walk(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """From each node to its unit's end, all at once: the edges, one walk after the other, and where each begins (one more at the end)."""
@@ -298,7 +302,9 @@ class _Paths:
         at = np.flatnonzero(step >= np.repeat(own, sizes))
         u = uniform(mix(np.repeat(join_hash(seeds, np.full(1, nth + 1, U64)), sizes)[at] + (step[at] + 1).astype(U64) * U64(0xD1342543DE82EF95)))
         self.g = np.full(len(edges), -np.inf)
-        self.g[at] = _truncated(self.before[at] + lat.log_rest[edges[at]], u, np.repeat(value, sizes)[at])
+        with np.errstate(divide="ignore"):
+            log_rest = np.log(lat.rest[edges[at]])
+        self.g[at] = _truncated(self.before[at] + log_rest, u, np.repeat(value, sizes)[at])
 
     def best(self) -> tuple[np.ndarray, np.ndarray]:
         """The largest value of each text's sets, and at which step."""
@@ -403,13 +409,13 @@ def _scatter(n: int, at: np.ndarray, values: np.ndarray, fill: int) -> np.ndarra
     return out
 
 
-def _coded(column: pa.Array, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def _coded(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """The code of each unit, where each text's begin (one more at the end), the distinct units."""
     lists = pc.split_pattern(column, " ")
     flat = lists.flatten().dictionary_encode()
     codes, ends = flat.indices.to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)
     ends = ends - ends[0]
-    distinct = [MARK + w for w in flat.dictionary.to_pylist()]
+    distinct = [MARK + w for w in flat.dictionary.to_numpy(zero_copy_only=False)]
     # runs of spaces, spaces at an end and marks make other units
     empty = pc.equal(flat.dictionary, "").to_numpy(zero_copy_only=False)
     odd = set((np.searchsorted(ends, np.flatnonzero(empty[codes]), side="right") - 1).tolist()) | set(np.flatnonzero(pc.match_substring(column, MARK).to_numpy(zero_copy_only=False)).tolist())
@@ -419,7 +425,7 @@ def _coded(column: pa.Array, texts: list[str]) -> tuple[np.ndarray, np.ndarray,
         last = 0
         for i in sorted(odd):
             parts.append(codes[ends[last] : ends[i]])
-            own = [known.setdefault(w, len(known)) for w in units(texts[i])]
+            own = [known.setdefault(w, len(known)) for w in units(column[i].as_py())]
             parts.append(np.array(own, np.int64))
             sizes[i], last = len(own), i + 1
         parts.append(codes[ends[last] :])
@@ -432,7 +438,7 @@ def _sampler(path: str | None, k: int, keep: bool):
         v = vocabulary(path)
         for b in gather(batches, size=BATCH_BYTES):
             column = strings(b.column("text"))
-            codes, ends, distinct = _coded(column, column.to_pylist())
+            codes, ends, distinct = _coded(column)
             lat = Lattice(distinct, v)
             keys = b.column("key").to_numpy().view(U64)
             marked = pc.replace_substring(column, MARK, " ")
