@@ -32,6 +32,8 @@ from .decontamination import SIGNS
 
 KINDS = ("email", "ip", "card", "phone")
 DISCLOSURE = 0.9
+#: Bytes of text that are rewritten at once; bounds a worker's memory.
+REWRITE_BYTES = 1 << 20
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -215,7 +217,7 @@ def op6_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rewriter(text_col: str, columns: list[str], count_col: str | None, found_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in gather(batches, text_col, REWRITE_BYTES):
             texts = b.column(text_col).to_pylist()
             for i, found in enumerate(b.column(found_col).to_pylist()):
                 if found:

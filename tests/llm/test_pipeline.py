@@ -107,3 +107,14 @@ def test_empty_tables(spark, tmp_path):
     for name, schema in (("documents", DOCS), ("benchmark", "item_id long, text string"), ("labels", "doc_id long, quality int, toxic int")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rewritten_in_pieces():
+    """Texts are rewritten a part of a large batch at a time, in order, nulls and other columns as they were."""
+    import pyarrow as pa
+
+    texts = [None if i % 7 == 0 else f"{i} " + "x" * 20_000 for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts), pa.array([[{"kind": "ip", "start": 0, "stop": 1}] if t else None for t in texts])], names=["doc_id", "body", "found"])
+    out = list(pii._rewriter("body", ["doc_id", "body"], None, "found")(iter([batch])))
+    assert max(b.nbytes for b in out) <= 2 * pii.REWRITE_BYTES
+    assert pa.Table.from_batches(out).to_pydict() == {"doc_id": list(range(300)), "body": [t and "[IP]" + t[1:] for t in texts]}
