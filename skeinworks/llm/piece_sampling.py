@@ -220,7 +220,8 @@ class Lattice:
         self.char = np.repeat(chars[by].astype(np.int32), count)
         self.to = np.where(length < np.repeat(left[by], count), node_of[np.minimum(np.repeat(by, count) + length, max(0, len(chars) - 1))], 0).astype(np.int32) if len(length) else length
         many_of = np.diff(self.first)
-        self.logp, self.p, self.rest = (np.empty(len(length)) for _ in range(3))
+        self.x, self.p = np.empty(len(length)), np.empty(len(length))
+        self.others, self.total = np.ones(len(chars) + 1), np.ones(len(chars) + 1)
         value, beta = v.weight[self.ids], np.zeros(len(chars) + 1)
         for a, b in zip(levels[:-1], levels[1:], strict=True):
             if a == b:
@@ -237,15 +238,16 @@ class Lattice:
             apart[best] = 0
             others = np.add.reduceat(apart, at)
             total = others + ones
-            log_total = np.log(total)
-            beta[a:b] = top + log_total
-            self.logp[lo:hi] = x - log_total[of]
-            p = mass / total[of]
-            self.p[lo:hi] = p
-            rest = 1 - p
-            one = best[(total - others < 1.5)[of[best]]]
-            rest[one] = (others / total)[of[one]]
-            self.rest[lo:hi] = rest
+            beta[a:b] = top + np.log(total)
+            self.others[a:b], self.total[a:b] = others, total
+            self.x[lo:hi], self.p[lo:hi] = x, mass / total[of]
+
+    def logs(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log-probabilities of taking each of these edges, and of taking another one there."""
+        node, x = self.node[edges], self.x[edges]
+        others, total = self.others[node], self.total[node]
+        with np.errstate(divide="ignore"):
+            return x - np.log(total), np.log(np.where((x == 0) & (total - others < 1.5), others / total, 1 - self.p[edges]))
 
     def walk(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """From each node to its unit's end, all at once: the edges, one walk after the other, and where each begins (one more at the end)."""
@@ -289,7 +291,7 @@ class _Paths:
         """sizes: edges of each text; unit: to which of its text's units an edge belongs; own: the step from which on sets are the path's own."""
         self.edges, self.sizes, self.unit, self.value = edges, sizes, unit, value
         self.begin = np.concatenate(([0], np.cumsum(sizes)))
-        logp = lat.logp[edges]
+        logp, log_rest = lat.logs(edges)
         done = np.empty(len(edges))
         bounds = self.begin.tolist()
         for a, z in zip(bounds[:-1], bounds[1:], strict=True):  # sums of a text's own numbers, whatever stands before it
@@ -302,9 +304,7 @@ class _Paths:
         at = np.flatnonzero(step >= np.repeat(own, sizes))
         u = uniform(mix(np.repeat(join_hash(seeds, np.full(1, nth + 1, U64)), sizes)[at] + (step[at] + 1).astype(U64) * U64(0xD1342543DE82EF95)))
         self.g = np.full(len(edges), -np.inf)
-        with np.errstate(divide="ignore"):
-            log_rest = np.log(lat.rest[edges[at]])
-        self.g[at] = _truncated(self.before[at] + log_rest, u, np.repeat(value, sizes)[at])
+        self.g[at] = _truncated(self.before[at] + log_rest[at], u, np.repeat(value, sizes)[at])
 
     def best(self) -> tuple[np.ndarray, np.ndarray]:
         """The largest value of each text's sets, and at which step."""
