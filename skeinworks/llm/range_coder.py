@@ -293,7 +293,7 @@ def _writer(folder: str, path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part = tokens.Encoder(path), TaskContext.get().partitionId()
+        encoder, part = tokens.remembered(path), TaskContext.get().partitionId()
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
         text, nth = 0, 0
 
