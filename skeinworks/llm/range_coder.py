@@ -39,29 +39,35 @@ MAGIC = b"SKTOK002"
 TEXT_BYTES = 24 << 20  # of a file, about
 #: Text of which the ids are found at once; bounds a worker's memory.
 PIECE_BYTES = 6 << 20
-_STEP, _EVERY = 24, 128
+_EVERY = 128
 _FULL, _LEAST, _WORD = 2.0**48, 2.0**32, 2.0**16
-_FIELD, _SUMS, _ONES = np.uint64(0xFFFF), np.uint64(0x0001000100010001), np.uint64(0x0001000100010001)
-_GROWN = np.array([_STEP << (16 * i) for i in range(4)], np.uint64)
-_BITS = np.concatenate(([0], np.frexp(np.arange(1, 1 << 16).astype(np.float64))[1])).astype(np.int64)
+_STEP, _FIELD, _SUMS, _ONES = np.uint64(24), np.uint64(0xFFFF), np.uint64(0x0001000100010001), np.uint64(0x0001000100010001)
 _LOW = np.maximum(np.arange(17) - 1, 0)
-_PARTS = 2.0**_LOW
+_PARTS, _OF_EACH = 2.0**_LOW, 0.5**_LOW
+#: The least number of a length.
+_LEAST_OF = np.where(np.arange(17) > 0, _PARTS, 0)
+
+
+def _either(which: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a where true, else b, of 32 bits: faster than np.where."""
+    return b ^ ((a ^ b) & np.negative(which.astype(np.uint32)))
 
 
 class _Model:
     """The state of n blocks; encoder and decoder take the same steps."""
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, decodes: bool):
         lane = np.arange(n)
         self.base, self.lane4, self.lane8, self.lane17 = lane * SLOTS, lane * 4, lane * 8, lane * 17
-        # an entry: the id, and above it the confidence, 0 to 3
+        # an entry: the id, and above it the confidence, 0 to 3; in one, above that the number of ids that came to the place, modulo 2**14
         self.two, self.one = np.zeros(n * SLOTS, np.uint32), np.zeros(n * SLOTS, np.uint32)
-        self.seen, self.best, self.most = np.zeros(n * SLOTS, np.uint16), np.zeros(n, np.uint32), np.zeros(n, np.uint16)
+        self.best, self.most = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
         self.f2, self.f1, self.f0 = np.full(n * 4, _ONES), np.full(n * 4, _ONES), np.full(n * 8, _ONES + np.uint64(4 << 48))
-        self.s1, self.s2 = self.base.copy(), self.base.copy()
+        # the places of the last id and the last two, and what one has at the first
+        self.s1, self.s2, self.at1 = self.base.copy(), self.base.copy(), np.zeros(n, np.uint32)
         self.mixed = np.zeros(n, np.uint32)
-        self.lengths = np.ones((n, 17), np.int64)
-        self.n, self.t = n, 0
+        self.lengths, self.rows = np.ones((n, 17), np.int64), []
+        self.n, self.t, self.decodes = n, 0, decodes
 
     def predict(self, k: int) -> None:
         """Of the first k lanes: the three predictions, and the frequencies of the four symbols with their running sums."""
@@ -73,67 +79,100 @@ class _Model:
         if not self.t & 63 or self.t in (8, 16, 32):
             self._spread_lengths()
         self.t += 1
-        self.e2, self.e1 = self.two[self.s2[:k]], self.one[self.s1[:k]]
+        self.e2, self.e1 = self.two.take(self.s2[:k]), self.at1[:k] & np.uint32(0x3FFFF)
         self.a, self.b, self.c = self.e2 & np.uint32(0xFFFF), self.e1 & np.uint32(0xFFFF), self.best[:k]
         agree = (self.a == self.b).view(np.int8) + (self.b == self.c).view(np.int8) * np.int8(2) + (self.a == self.c).view(np.int8) * np.int8(4)
         self.r2, self.r1, self.r0 = self.lane4[:k] + (self.e2 >> np.uint32(16)), self.lane4[:k] + (self.e1 >> np.uint32(16)), self.lane8[:k] + agree
-        self.g2, self.g1, self.g0 = self.f2[self.r2], self.f1[self.r1], self.f0[self.r0]
+        self.g2, self.g1, self.g0 = self.f2.take(self.r2), self.f1.take(self.r1), self.f0.take(self.r0)
         self.freq = self.g2 + self.g1 + self.g0
         self.sums = self.freq * _SUMS
 
-    def learn(self, k: int, ids: np.ndarray, symbol: np.ndarray) -> None:
-        more = _GROWN[symbol]
+    def total(self) -> np.ndarray:
+        return (self.sums >> np.uint64(48)).astype(np.float64)
+
+    def of(self, field: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols' frequencies and the sums up to and with them."""
+        return ((self.freq >> field) & _FIELD).astype(np.float64), ((self.sums >> field) & _FIELD).astype(np.float64)
+
+    def learn(self, k: int, ids: np.ndarray, field: np.ndarray) -> None:
+        """field: where the symbol's frequency stands, in bits."""
+        more = _STEP << field
         self.f2[self.r2], self.f1[self.r1], self.f0[self.r0] = self.g2 + more, self.g1 + more, self.g0 + more
-        for entry, guess, table_, slot in ((self.e2, self.a, self.two, self.s2[:k]), (self.e1, self.b, self.one, self.s1[:k])):
-            sure = np.minimum(entry + np.uint32(1 << 16), guess + np.uint32(3 << 16))
-            table_[slot] = np.where(guess == ids, sure, np.where(entry < 1 << 16, ids, entry - np.uint32(1 << 16)))
+        self.two[self.s2[:k]] = self._next(self.e2, self.a, ids)
+        self.one[self.s1[:k]] = (self.at1[:k] & np.uint32(0xFFFC0000)) | self._next(self.e1, self.b, ids)
         mixed = ids * np.uint32(2654435761)
         one = self.base[:k] + (mixed >> np.uint32(24))
-        n = self.seen[one] + np.uint16(1)
-        self.seen[one] = n
-        np.copyto(self.best[:k], ids, where=n > self.most[:k])
+        self.at1[:k] = self.one.take(one) + np.uint32(1 << 18)
+        n = self.at1[:k] >> np.uint32(18)
+        self.best[:k] = _either(n > self.most[:k], ids, self.best[:k])
         np.maximum(self.most[:k], n, out=self.most[:k])
         self.s2[:k] = self.base[:k] + ((mixed + (self.mixed[:k] >> np.uint32(5))) * np.uint32(2246822519) >> np.uint32(24))
         self.s1[:k], self.mixed[:k] = one, mixed
 
+    @staticmethod
+    def _next(entry: np.ndarray, guess: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        sure = np.minimum(entry + np.uint32(1 << 16), guess + np.uint32(3 << 16))
+        return _either(guess == ids, sure, _either(entry < 1 << 16, ids, entry - np.uint32(1 << 16)))
+
     def _spread_lengths(self) -> None:
         """256 parts dealt out by the lengths met so far, one to each at least."""
+        if self.rows:
+            self.lengths += np.bincount(np.concatenate(self.rows), minlength=self.n * 17).reshape(-1, 17)
+            self.rows = []
         f = 1 + self.lengths * 239 // self.lengths.sum(1, keepdims=True)
         top = self.lengths.argmax(1)
         f[np.arange(self.n), top] += 256 - f.sum(1)
-        self.length_of = np.repeat(np.tile(np.arange(17, dtype=np.uint8), self.n), f.reshape(-1))
-        self.part, self.parts = (np.cumsum(f, axis=1) - f).astype(np.float64).reshape(-1), f.astype(np.float64).reshape(-1)
+        if self.decodes:
+            self.length_of = np.repeat(np.tile(np.arange(17, dtype=np.uint8), self.n), f.reshape(-1))
+        self.parts = ((np.cumsum(f, axis=1) - f) + (f << 16)).astype(np.uint32).reshape(-1)
+
+    def length_part(self, row: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a length's parts begin; how many there are, divided by how many numbers have it: a power of two, so that nothing is rounded."""
+        both = self.parts.take(row)
+        return (both & np.uint32(0xFFFF)).astype(np.float64), (both >> np.uint32(16)).astype(np.float64) * _OF_EACH.take(length)
 
     def learn_length(self, at: np.ndarray) -> None:
-        self.lengths.reshape(-1)[at] += 1
+        self.rows.append(at)
 
 
 class _Out:
-    def __init__(self, n: int):
+    """Words in the order of their place in the lane, then of lanes: lanes get on at about the same pace, so that writes stay near each other."""
+
+    def __init__(self, n: int, block: int):
         self.low, self.range = np.zeros(n), np.full(n, _FULL)
-        self.lanes, self.words = [], []
+        # an id takes at most 14.5 bits for the symbol (3 of 65,535), 8 for the length and 15 more: under 2.5 words
+        self.at, self.words, self.carries = np.arange(n), np.empty(n * (block * 5 // 2 + 8), np.uint16), []
 
-    def shift(self) -> None:
-        """Puts out a word of each lane whose range is short, until none is."""
-        while len(at := np.flatnonzero(self.range < _LEAST)):
-            low = self.low[at]
-            word = np.floor(low / _LEAST)  # 17 bits: the carry goes up at the end
-            self.lanes.append(at.astype(np.uint16))
-            self.words.append(word.astype(np.int32))
-            self.low[at], self.range[at] = (low - word * _LEAST) * _WORD, self.range[at] * _WORD
+    def put(self, lanes: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Puts out a word of each of the lanes; their new low ends."""
+        word, at = np.floor(low / _LEAST), self.at.take(lanes)
+        self.words[at] = word.astype(np.int32).astype(np.uint16)
+        self.carries.append(at[word >= _WORD])  # a 17th bit, which goes up at the end
+        self.at[lanes] = at + len(self.at)
+        return (low - word * _LEAST) * _WORD
 
     def close(self) -> list[np.ndarray]:
-        n = len(self.low)
+        n = len(self.at)
         # one word more: with zeros behind it, a number that the last range holds
-        self.lanes.append(np.arange(n).astype(np.uint16))
-        self.words.append(np.ceil(self.low / _LEAST).astype(np.int32))
-        lanes, words = np.concatenate(self.lanes), np.concatenate(self.words)
-        self.lanes, self.words = [], []
-        words = words[np.argsort(lanes, kind="stable")]
-        while (carry := words >> 16).any():  # a lane's first word has none
-            words &= 0xFFFF
-            words[:-1] += carry[1:]
-        return np.split(words.astype("<u2"), np.cumsum(np.bincount(lanes, minlength=n))[:-1])
+        self.put(np.arange(n), np.ceil(self.low / _LEAST) * _LEAST)
+        carry = np.concatenate(self.carries)
+        while len(carry):  # a lane's first word has none
+            carry = carry - n
+            words = self.words[carry]
+            self.words[carry] = words + np.uint16(1)
+            carry = carry[words == 0xFFFF]
+        many = self.at // n
+        words = _turned(self.words[: n * many.max()].reshape(-1, n))
+        return [words[i, :k].astype("<u2", copy=False) for i, k in enumerate(many.tolist())]
+
+
+def _turned(a: np.ndarray) -> np.ndarray:
+    """The transpose, in tiles that the cache holds."""
+    out = np.empty(a.shape[::-1], a.dtype)
+    for i in range(0, a.shape[0], 64):
+        for j in range(0, a.shape[1], 128):
+            out[j : j + 128, i : i + 64] = a[i : i + 64, j : j + 128].T
+    return out
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[np.ndarray]:
@@ -148,33 +187,42 @@ def _encode(ids: np.ndarray, block: int) -> list[np.ndarray]:
     n = -(-len(ids) // block)
     whole = np.zeros(n * block, np.uint16)
     whole[: len(ids)] = ids
-    steps = np.ascontiguousarray(whole.reshape(n, block).T)
+    steps = _turned(whole.reshape(n, block))
     last = len(ids) - (n - 1) * block
-    m, out = _Model(n), _Out(n)
+    m, out = _Model(n, False), _Out(n, block)
     for t in range(min(block, len(ids))):
         k = n if t < last else n - 1
         x = steps[t, :k].astype(np.uint32)
         m.predict(k)
-        symbol = np.where(m.a == x, 0, np.where(m.b == x, 1, np.where(m.c == x, 2, 3)))
-        at = (symbol << 4).astype(np.uint64)
-        freq = (m.freq >> at) & _FIELD
-        r = np.floor(out.range[:k] / (m.sums >> np.uint64(48)))
-        out.low[:k] += r * (((m.sums >> at) & _FIELD) - freq)
+        symbol = (m.a != x).view(np.uint8) * (np.uint8(1) + (m.b != x).view(np.uint8) * (np.uint8(1) + (m.c != x).view(np.uint8)))
+        field = symbol.astype(np.uint64) << np.uint64(4)
+        freq, upto = m.of(field)
+        r = np.floor(out.range[:k] / m.total())
+        out.low[:k] += r * (upto - freq)
         out.range[:k] = r * freq
-        out.shift()
+        # a range of 2**32 holds more than 2**17 after a symbol, so that one word is enough
+        short = np.flatnonzero(out.range < _LEAST)
+        out.low[short] = out.put(short, out.low.take(short))
+        out.range[short] *= _WORD
         miss = np.flatnonzero(symbol == 3)
         if len(miss):
-            y = x[miss].astype(np.int64)
-            length = _BITS[y]
-            row = m.lane17[miss] + length
-            r = np.floor(out.range[miss] / 256)
-            low = out.low[miss] + r * m.part[row]
-            r = np.floor(r * m.parts[row] / _PARTS[length])
-            out.low[miss] = low + r * (y & ((1 << _LOW[length]) - 1))
-            out.range[miss] = r
-            out.shift()
+            y = x.take(miss).astype(np.float64)
+            length = np.maximum((y.view(np.int64) >> 52) - 1022, 0)  # from the exponent
+            row = m.lane17.take(miss) + length
+            r = np.floor(out.range.take(miss) / 256)
+            part, share = m.length_part(row, length)
+            low = out.low.take(miss) + r * part
+            r = np.floor(r * share)
+            low += r * (y - _LEAST_OF.take(length))
+            short = np.flatnonzero(r < _LEAST)
+            while len(short):
+                low[short] = out.put(miss.take(short), low.take(short))
+                wider = r.take(short) * _WORD
+                r[short] = wider
+                short = short[wider < _LEAST]
+            out.low[miss], out.range[miss] = low, r
             m.learn_length(row)
-        m.learn(k, x, symbol)
+        m.learn(k, x, field)
     return out.close()
 
 
@@ -183,64 +231,69 @@ def decode_blocks(words_: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) ->
     out, ends = [np.empty(0, np.uint16)], np.concatenate(([0], np.cumsum(lengths)))
     for at in range(0, len(sizes), LANES):
         to = min(at + LANES, len(sizes))
-        out.append(_decode(words_[ends[at] : ends[to]], ends[at:to] - ends[at], sizes[at:to]))
+        out.append(_decode(words_[ends[at] : ends[to]], ends[at : to + 1] - ends[at], sizes[at:to]))
     return np.concatenate(out)
 
 
-def _decode(words_: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _decode(words_: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     n, block = len(sizes), int(sizes[0])
-    words = np.append(words_, 0).astype(np.float64)
-    at, end, range_ = first.astype(np.int64), np.append(first[1:], len(words_)), np.full(n, _FULL)
-    code = np.zeros(n)
-
-    def taken(lanes) -> np.ndarray:
-        """The lanes' next words, zeros behind their last."""
-        place = at[lanes].copy()
-        at[lanes] += 1
-        return words[np.where(place < end[lanes], place, len(words_))]
+    # in the order of the encoder; zeros behind each lane's words, for what is read beyond them
+    many = np.diff(ends)
+    whole = np.zeros((n, int(many.max()) + 4), np.uint16)
+    for i, (a, z) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        whole[i, : z - a] = words_[a:z]
+    words, at = _turned(whole).reshape(-1), np.arange(n)
+    code, range_ = np.zeros(n), np.full(n, _FULL)
+
+    def taken(lanes: np.ndarray) -> np.ndarray:
+        """The lanes' next words; damaged ones may ask for more than there are."""
+        place = at.take(lanes)
+        at[lanes] = place + n
+        return words.take(place, mode="clip")
 
     for _ in range(3):
-        code = code * _WORD + taken(slice(None))
-
-    def shift() -> None:
-        for _ in range(4):  # a damaged block may have a range of 0
-            short = np.flatnonzero(range_ < _LEAST)
-            if not len(short):
-                return
-            code[short] = code[short] * _WORD + taken(short)
-            range_[short] *= _WORD
-
-    m, steps = _Model(n), np.zeros((block, n), np.uint16)
+        code = code * _WORD + taken(np.arange(n))
+    m, steps = _Model(n, True), np.zeros((block, n), np.uint16)
     for t in range(block):
         k = n if t < sizes[-1] else n - 1
         m.predict(k)
-        total = m.sums >> np.uint64(48)
-        r = np.floor(range_[:k] / total)
-        v = np.floor(code[:k] / r)
-        s0, s1, s2 = (m.sums >> np.uint64(16 * i) & _FIELD for i in range(3))
-        symbol = (v >= s0).view(np.int8) + (v >= s1).view(np.int8) + (v >= s2).view(np.int8)
-        place = symbol.astype(np.uint64) << np.uint64(4)
-        freq = (m.freq >> place) & _FIELD
-        code[:k] -= r * (((m.sums >> place) & _FIELD) - freq)
+        r = np.floor(range_[:k] / m.total())
+        v = (code[:k] / r).astype(np.int64)
+        not0, not1, not2 = (v >= (m.sums >> np.uint64(16 * i) & _FIELD).view(np.int64) for i in range(3))
+        symbol = not0.view(np.uint8) + not1.view(np.uint8) + not2.view(np.uint8)
+        field = symbol.astype(np.uint64) << np.uint64(4)
+        freq, upto = m.of(field)
+        code[:k] -= r * (upto - freq)
         range_[:k] = r * freq
-        shift()
-        x = np.where(symbol == 0, m.a, np.where(symbol == 1, m.b, m.c))
-        miss = np.flatnonzero(symbol == 3)
+        short = np.flatnonzero(range_ < _LEAST)
+        code[short] = code.take(short) * _WORD + taken(short)
+        range_[short] *= _WORD
+        x = _either(not0, _either(not1, m.c, m.b), m.a)
+        miss = np.flatnonzero(not0 & not1 & not2)
         if len(miss):
-            r = np.floor(range_[miss] / 256)
-            part = np.clip(np.floor(code[miss] / r), 0, 255).astype(np.int64)
-            length = m.length_of[m.base[miss] + part].astype(np.int64)
-            row = m.lane17[miss] + length
-            rest = code[miss] - r * m.part[row]
-            r = np.floor(r * m.parts[row] / _PARTS[length])
-            y = np.clip(np.floor(rest / r), 0, _PARTS[length] - 1)
-            code[miss], range_[miss] = rest - r * y, r
-            shift()
-            x[miss] = np.where(length > 0, y + _PARTS[length], 0)
+            r = np.floor(range_.take(miss) / 256)
+            rest = code.take(miss)
+            # the masks matter to damaged blocks only, which must not reach into others
+            part = (rest / r).astype(np.int64) & 255
+            length = m.length_of.take(m.base.take(miss) + part).astype(np.int64)
+            row = m.lane17.take(miss) + length
+            first, share = m.length_part(row, length)
+            rest -= r * first
+            r = np.floor(r * share)
+            y = np.floor(rest / r)
+            rest -= r * y
+            short = np.flatnonzero(r < _LEAST)
+            for _ in range(2):  # a damaged block may have a range of 0
+                rest[short] = rest.take(short) * _WORD + taken(miss.take(short))
+                wider = r.take(short) * _WORD
+                r[short] = wider
+                short = short[wider < _LEAST]
+            code[miss], range_[miss] = rest, r
+            x[miss] = (y + _LEAST_OF.take(length)).astype(np.int64) & 0xFFFF
             m.learn_length(row)
         steps[t, :k] = x
-        m.learn(k, x, symbol)
-    return steps.T.reshape(-1)[: int(sizes.sum())]
+        m.learn(k, x, field)
+    return _turned(steps).reshape(-1)[: int(sizes.sum())]
 
 
 def crc(ids: np.ndarray) -> int:
@@ -310,7 +363,7 @@ def _writer(folder: str, path: str, end: int):
             ids, offsets = tokens.with_ends(*encoder.encode(texts), end)
             held.append((b.column("doc_id").to_pylist(), np.diff(offsets), ids.astype(np.uint16)))
             text += texts.nbytes
-            if text >= TEXT_BYTES:
+            if text >= TEXT_BYTES * 5 // 4:  # rather than a small file with what a partition has beyond TEXT_BYTES
                 yield close()
                 held, text, nth = [], 0, nth + 1
         if held:

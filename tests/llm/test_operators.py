@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +129,29 @@ def test_blocks(block):
             assert (range_coder.unpack(data)[2] == ids).all()
 
 
+def test_long_blocks_and_carries():
+    """Counts above 2**14 in a block; words of ones, through which a carry goes."""
+    r = np.random.default_rng(2)
+    for ids in (np.zeros(40_000, np.int64), r.integers(0, 2, 40_000) * 7, r.integers(0, 1 << 16, 40_000)):
+        data = range_coder.pack([1], np.array([40_000]), ids, block=20_000)
+        assert (range_coder.unpack(data)[2] == ids).all()
+    out = range_coder._Out(2, 8)
+    for low in (5.0, 2.0**48 - 1, 2.0**48 - 1, 2.0**48 + 3 * 2.0**32):
+        out.put(np.array([1]), np.array([low]))
+    assert [w.tolist() for w in out.close()] == [[0], [1, 0, 0, 3, 0]]
+
+
+def test_files_of_partitions_a_little_above_the_size(spark, tmp_path, monkeypatch):
+    """One file, not one more for the rest."""
+    monkeypatch.setattr(range_coder, "TEXT_BYTES", 1000)
+    monkeypatch.setattr(range_coder, "PIECE_BYTES", 100)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 11)), pa.array(["a" * 100] * 11)], names=["doc_id", "text"]) for i in (0, 11)]
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("Context", (), {"partitionId": lambda self: 0})())
+    run = range_coder._writer(f"file://{tmp_path}", tokens.vocabulary(), 1)
+    assert sum(b.num_rows for b in run(iter(batches[:1]))) == 1
+    assert sum(b.num_rows for b in run(iter(batches))) == 2
+
+
 def test_damaged_blocks():
     ids = np.random.default_rng(1).integers(0, 3000, 5000)
     data = range_coder.pack([1], np.array([5000]), ids, block=128)
