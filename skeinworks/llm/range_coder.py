@@ -36,7 +36,7 @@ BLOCK, LANES = 2048, 8192
 #: Places of a block's tables: the highest eight bits of a hash.
 SLOTS = 256
 MAGIC = b"SKTOK002"
-TEXT_BYTES = 24 << 20  # of a file, about
+TEXT_BYTES = 24 << 20  # of a file, about; up to 5/4 of it, and a piece
 #: Text of which the ids are found at once; bounds a worker's memory.
 PIECE_BYTES = 6 << 20
 _EVERY = 128
