@@ -73,8 +73,15 @@ def _gathered(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterat
 
 
 def strings(col: pa.Array) -> pa.Array:
-    """The column as strings without nulls (null: empty)."""
-    return pc.fill_null(col.cast(pa.large_string()), "")
+    """The column as strings without nulls (null: empty), its bytes from the buffer's start on: Arrow's ascii_lower garbles a slice that starts later."""
+    whole = pc.fill_null(col.cast(pa.large_string()), "")
+    if not len(whole):
+        return whole
+    _, offsets, data = whole.buffers()
+    at = np.frombuffer(offsets, np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    if not at[0]:
+        return whole
+    return pa.LargeStringArray.from_buffers(len(whole), pa.py_buffer(at - at[0]), data.slice(int(at[0]), int(at[-1] - at[0])))
 
 
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -8,11 +8,14 @@ import struct
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from skeinworks.llm import lm_score, pii, quality_net, quality_rules
+from skeinworks.llm._common import strings
 
 R = random.Random(21)
 WORDS = [f"w{i}" for i in range(40)]
@@ -169,3 +172,13 @@ def test_personal_data(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{z}" for k, a, z in spans_by_definition(t)).encode()).hexdigest()
     clean = pii.sanitise(docs)
     assert clean.columns == docs.columns and clean.count() == len(rows)
+
+
+def test_tokens_of_a_later_slice():
+    """A batch is cut into slices, whose texts do not begin at the buffer's start."""
+    texts = pa.array(["One two THREE " * 500, "Four  five\tsix", "", "SEVEN éÈ ten " * 300])
+    for at in range(len(texts)):
+        part, want = strings(texts[at:]), texts[at:].to_pylist()
+        codes, where, _, _ = lm_score._tokens(part)
+        assert np.diff(where).tolist() == [len(t.split()) + 1 for t in want] and len(codes) == where[-1]
+        assert pc.ascii_lower(part).to_pylist() == [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in want]
