@@ -33,7 +33,7 @@ RULES_BASE = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM document
 
 def personal_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many emails, ips, cards and phones each document has."""
-    return pii.op6_disclosure(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+    return pii.counts(table(spark, sf_dir, "documents"))
 
 
 _DIGITS = "regexp_replace(x, '[^0-9]', '', 'g')"

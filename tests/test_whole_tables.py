@@ -2,6 +2,7 @@
 
 import duckdb
 
+from skeinworks.llm import expressible, pii
 from skeinworks.plans import procedures  # noqa: F401  registers its queries
 from skeinworks.plans import queries as plans
 
@@ -14,3 +15,13 @@ def test_media_of_all_pages(spark, tmp_path):
     duck.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     got = plans.QUERIES["process_media_casts"](spark, str(tmp_path)).select("id", "media_status", "n_media").collect()
     assert sorted(map(tuple, got)) == sorted(duck.sql(f"SELECT id, media_status, n_media FROM ({plans.ORACLE['process_media_casts']})").fetchall())
+
+
+def test_personal_counts_of_one_scan(spark, tmp_path, monkeypatch):
+    """The counts need the patterns only, not the terms that disclose what they find."""
+    rows = [(1, "a.b@c.org and 10.0.0.1, 10.0.0.256"), (1, "card 4111 1111 1111 1111, +44 (20) 7946-0958"), (2, None), (3, ""), (None, "x@y.zz x@y.zz"), (4, "none")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = sorted(pii.op6_disclosure(spark, str(tmp_path)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone").collect(), key=repr)
+    monkeypatch.setattr(pii, "spans", None)
+    got = sorted(expressible.personal_counts(spark, str(tmp_path)).collect(), key=repr)
+    assert got == want and sum(r.n_email for r in got) == 3
