@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut, delete, shared_dir
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -115,48 +119,138 @@ def half_bytes(vector: Column) -> Column:
     return written(vector)
 
 
+#: Rows of a file of stored vectors, and queries that a task answers at once; with nearest()'s block they bound a worker's memory.
+FILE_ROWS, TASK_QUERIES = 8192, 4096
+#: Pairs whose distance is computed at once in full precision.
+PAIRS = 1 << 18
+
+
+def _matrix(batch) -> tuple[np.ndarray, np.ndarray]:
+    ids = batch.column("id").to_numpy()
+    return ids, batch.column("v").flatten().to_numpy().reshape(len(ids), -1) if len(ids) else np.empty((0, 0))
+
+
+def prepared(m: np.ndarray, metric: str) -> np.ndarray:
+    """Rows of which products tell the distance: unit vectors, signs, or the rows."""
+    return np.where(m > 0, 1.0, -1.0) if metric == "hamming" else m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300) if metric == "cosine" else m
+
+
+def parts(batches, n: int):
+    """ids and rows of a task, n at a time."""
+    held, size = [], 0
+    for b in batches:
+        for at in range(0, b.num_rows, n):
+            part = b.slice(at, n)
+            if size and size + part.num_rows > n:
+                yield _matrix(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                held, size = [], 0
+            held.append(part)
+            size += part.num_rows
+    if size:
+        yield _matrix(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+
+def numbered(df: DataFrame, key: str, vector: str) -> DataFrame:
+    return df.select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL")
+
+
+def stored(rows: DataFrame, folder: str, metric: str) -> list[tuple[str, int]]:
+    """Writes the prepared rows (id, v) below a shared folder, FILE_ROWS to a file; the files' addresses and numbers of rows."""
+
+    def run(batches):
+        import uuid
+
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(folder)
+        for ids, m in parts(batches, FILE_ROWS):
+            files.create_dir(root, recursive=True)
+            name = uuid.uuid4().hex
+            with files.open_output_stream(f"{root}/{name}") as out:
+                out.write(memoryview(ids.astype(np.int64)).cast("B"))
+                out.write(memoryview(np.ascontiguousarray(prepared(m, metric))).cast("B"))
+            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(ids)])], names=["file", "n"])
+
+    return sorted((r.file, r.n) for r in rows.mapInArrow(run, "file string, n bigint").collect())
+
+
+def load(file: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """ids and rows of a file."""
+    from pyarrow import fs
+
+    files, path = fs.FileSystem.from_uri(file)
+    with files.open_input_file(path) as f:
+        raw = f.read()
+    return np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.float64, offset=8 * n).reshape(n, -1)
+
+
+def dealt(ask: DataFrame) -> DataFrame:
+    """The queries, dealt out so that all cores have some and no task many."""
+    n = ask.count()
+    return ask.repartition(max(1, min(n, max(ask.sparkSession.sparkContext.defaultParallelism, -(-n // TASK_QUERIES)))), "id")
+
+
+def _products(q: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The products of the rows q[a] and m[b], a pair's the same wherever it stands."""
+    return np.concatenate([np.einsum("ij,ij->i", q[a[i : i + PAIRS]], m[b[i : i + PAIRS]]) for i in range(0, len(a), PAIRS)] or [np.empty(0)])
+
+
+def _best(q_ids: np.ndarray, q: np.ndarray, files: list[tuple[str, int]], k: int, metric: str, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances and ids of the k nearest stored rows of each query. Products in single precision tell which pairs may count; of these the
+    distances are computed in double."""
+    best_d, best_i = np.full((len(q_ids), k), np.inf), np.full((len(q_ids), k), np.iinfo(np.int64).max)
+    small, slack = q.astype(np.float32), 0.0 if metric == "hamming" else (q.shape[1] + 8) * 2.0**-22
+    for name, n in files:
+        ids, m = load(name, n)
+        turned = np.ascontiguousarray(m.T, np.float32)
+        for at in range(0, len(q_ids), block):
+            mine = slice(at, at + block)
+            s = small[mine] @ turned
+            worst = best_d[mine, -1]
+            # least product of a pair that may count
+            least = (q.shape[1] - 2 * worst if metric == "hamming" else 1 - worst) - slack
+            fresh = np.flatnonzero(np.isinf(worst))
+            if len(fresh) and n > k:
+                part = np.where((q_ids[mine][fresh, None] == ids) | np.isnan(s[fresh]), -np.inf, s[fresh])
+                least[fresh] = np.partition(part, n - k, axis=1)[:, n - k] - 2 * slack
+            a, b = np.nonzero(s >= least[:, None].astype(np.float32) - np.float32(slack))
+            other = q_ids[mine][a] != ids[b]
+            a, b = a[other], b[other]
+            if not len(a):
+                continue
+            d = (q.shape[1] - s[a, b].astype(np.float64)) / 2 if metric == "hamming" else 1 - _products(q[mine], m, a, b)
+            better = (d < worst[a]) | ((d == worst[a]) & (ids[b] < best_i[mine, -1][a]))
+            a, b, d = a[better], b[better], d[better]
+            hit = np.unique(a)
+            # the held and the new of each query that has any, by distance and id; the first k of each stay
+            who = np.concatenate((np.repeat(hit, k), a))
+            d, i = np.concatenate((best_d[mine][hit].ravel(), d)), np.concatenate((best_i[mine][hit].ravel(), ids[b]))
+            order = np.lexsort((i, d, who))
+            who = who[order]
+            first = np.searchsorted(who, hit)
+            take = order[(first[:, None] + np.arange(k)).ravel()]
+            best_d[at + hit], best_i[at + hit] = d[take].reshape(-1, k), i[take].reshape(-1, k)
+    return best_d, best_i
+
+
 def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int, metric: str = "cosine", block: int = 1024) -> DataFrame:
     """q_id, key, rank, distance: of each query its k nearest rows of df, itself left out; exact. queries: the same columns as df.
 
-    Queries go to the tasks `block` at a time, a scan for each block; a task keeps its k best of each query, so that
-    k rows a task and query are shuffled, not pairs. metric: cosine (1 - similarity) or hamming (unlike signs). Ties go to the smaller key.
+    The rows stand in files that all tasks share; a task answers TASK_QUERIES queries at a time, file by file, `block` queries to a product of
+    matrices. Only k rows a query are shuffled, not pairs. metric: cosine (1 - similarity) or hamming (unlike signs). Ties go to the smaller key.
     """
-    rows = df.select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL")
-    ask = queries.select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL")
-
-    def matrix(batch) -> tuple[np.ndarray, np.ndarray]:
-        ids = batch.column("id").to_numpy()
-        return ids, batch.column("v").flatten().to_numpy().reshape(len(ids), -1) if len(ids) else np.empty((0, 0))
-
-    def prepared(m: np.ndarray) -> np.ndarray:
-        return np.where(m > 0, 1.0, -1.0) if metric == "hamming" else m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
-
-    def scorer(q_ids: np.ndarray, q: np.ndarray):
-        def run(batches):
-            best_d, best_i = np.full((len(q_ids), k), np.inf), np.full((len(q_ids), k), np.iinfo(np.int64).max)
-            for b in batches:
-                ids, m = matrix(b)
-                if not len(ids):
-                    continue
-                dot = q @ prepared(m).T
-                d = (q.shape[1] - dot) / 2 if metric == "hamming" else 1 - dot
-                d[q_ids[:, None] == ids] = np.inf
-                d, i = np.concatenate((best_d, d), 1), np.concatenate((best_i, np.broadcast_to(ids, dot.shape)), 1)
-                order = np.lexsort((i, d), axis=1)[:, :k]
-                best_d, best_i = np.take_along_axis(d, order, 1), np.take_along_axis(i, order, 1)
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark).rstrip('/')}/nearest-{uuid.uuid4().hex}"
+    folder = folder if "://" in folder or folder.startswith("file:") else "file://" + folder
+    files = stored(numbered(df, key, vector), folder, metric)
+
+    def run(batches):
+        for q_ids, q in parts(batches, TASK_QUERIES):
+            best_d, best_i = _best(q_ids, prepared(q, metric), files, k, metric, block)
             n, j = np.nonzero(np.isfinite(best_d))
             yield pa.RecordBatch.from_arrays([pa.array(q_ids[n]), pa.array(best_i[n, j]), pa.array(best_d[n, j])], names=["q_id", "id", "distance"])
 
-        return run
-
-    n = max(1, -(-ask.count() // block))
-    out = None
-    for part in range(n):
-        # about `block` queries
-        got = ask.where(F.pmod(F.xxhash64("id"), F.lit(n)) == part).toArrow().combine_chunks()
-        batch = got.to_batches()[0] if got.num_rows else None
-        q_ids, q = matrix(batch) if batch else (np.empty(0, np.int64), np.empty((0, 1)))
-        found = rows.mapInArrow(scorer(q_ids, prepared(q)), "q_id bigint, id bigint, distance double")
-        out = found if out is None else out.unionAll(found)
+    out = cut(dealt(numbered(queries, key, vector)).mapInArrow(run, "q_id bigint, id bigint, distance double"))
+    delete(spark, folder)
     rank = F.row_number().over(Window.partitionBy("q_id").orderBy("distance", "id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("q_id", F.col("id").alias(key), "rank", "distance")

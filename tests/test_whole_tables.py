@@ -1,7 +1,9 @@
 """Queries over tables beyond the sizes at which they once stopped short."""
 
 import duckdb
+import numpy as np
 
+from skeinworks.functions import vectors as V
 from skeinworks.llm import expressible, pii
 from skeinworks.plans import procedures  # noqa: F401  registers its queries
 from skeinworks.plans import queries as plans
@@ -25,3 +27,20 @@ def test_personal_counts_of_one_scan(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(pii, "spans", None)
     got = sorted(expressible.personal_counts(spark, str(tmp_path)).collect(), key=repr)
     assert got == want and sum(r.n_email for r in got) == 3
+
+
+def test_nearest_of_blocks_and_ties(spark, monkeypatch):
+    """Every query with a single task's rows bounded: files and groups of queries smaller than the table, equal rows, empty vectors of zeros."""
+    monkeypatch.setattr(V, "FILE_ROWS", 50)
+    monkeypatch.setattr(V, "TASK_QUERIES", 30)
+    monkeypatch.setattr(V, "PAIRS", 64)
+    r = np.random.default_rng(4)
+    x = r.normal(size=(240, 8)).round(1)
+    x[60:100], x[200:220], x[5] = x[60], x[7], 0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>").repartition(3)
+    got = {(g.q_id, g["rank"]): g.id for g in V.nearest(df, "id", "v", df, 6, block=11).collect()}
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    for q in range(240):
+        d = (1 - np.einsum("ij,j->i", unit, unit[q])).round(12)
+        d[q] = np.inf
+        assert [got[q, j] for j in range(1, 7)] == np.lexsort((np.arange(240), d))[:6].tolist()
