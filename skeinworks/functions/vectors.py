@@ -213,7 +213,7 @@ def _best(q_ids: np.ndarray, q: np.ndarray, files: list[tuple[str, int]], k: int
             if len(fresh) and n > k:
                 part = np.where((q_ids[mine][fresh, None] == ids) | np.isnan(s[fresh]), -np.inf, s[fresh])
                 least[fresh] = np.partition(part, n - k, axis=1)[:, n - k] - 2 * slack
-            a, b = np.nonzero(s >= least[:, None].astype(np.float32) - np.float32(slack))
+            a, b = np.divmod(np.flatnonzero(s >= least[:, None].astype(np.float32) - np.float32(slack)), n)
             other = q_ids[mine][a] != ids[b]
             a, b = a[other], b[other]
             if not len(a):
