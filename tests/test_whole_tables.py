@@ -1,10 +1,13 @@
 """Queries over tables beyond the sizes at which they once stopped short."""
 
+import random
+
 import duckdb
 import numpy as np
 
 from skeinworks.functions import vectors as V
 from skeinworks.llm import expressible, pii
+from skeinworks.operators import threads
 from skeinworks.plans import procedures  # noqa: F401  registers its queries
 from skeinworks.plans import queries as plans
 
@@ -44,3 +47,14 @@ def test_nearest_of_blocks_and_ties(spark, monkeypatch):
         d = (1 - np.einsum("ij,j->i", unit, unit[q])).round(12)
         d[q] = np.inf
         assert [got[q, j] for j in range(1, 7)] == np.lexsort((np.arange(240), d))[:6].tolist()
+
+
+def test_supported_without_texts(spark):
+    """The posts that hydrated() gives a text, found from hashes alone: no text column is there."""
+    r = random.Random(3)
+    rows = [(i, r.randrange(12), f"text {i}", [r.randrange(130) for _ in range(r.randrange(3))], [], [], []) for i in range(120)] + [(200, 1, "t", None, [], [], [])]
+    posts = spark.createDataFrame(rows, "hash long, fid long, text string, quotes array<long>, mentions array<long>, positions array<int>, urls array<string>")
+    profiles = spark.createDataFrame([(i, f"u{i}") for i in range(10)], "fid long, username string")
+    for seeds in (posts.select("hash"), posts.where("hash % 9 = 0").select("hash")):
+        want = sorted(x.hash for x in threads.hydrated(posts, profiles, seeds).collect())
+        assert sorted(x.hash for x in threads.supported(posts.select("hash", "fid", "quotes"), profiles, seeds).collect()) == want and want
