@@ -17,6 +17,8 @@ from ..sources.shared import cut
 PERMS = 128
 #: Nodes of a band that one part holds, about; two parts are compared in one task.
 BLOCK = 512
+#: Shares of equal places from which a text is near an earlier one: of texts of more than SHORT characters, and of others.
+LONG_NEED, SHORT_NEED, SHORT = 0.95, 0.90, 60
 
 
 def banding(threshold: float) -> tuple[int, int]:
@@ -56,6 +58,21 @@ def bands(signed: DataFrame, threshold: float) -> DataFrame:
     return signed.select("node", key.alias("band"))
 
 
+def meeting(signed: DataFrame) -> DataFrame:
+    """node, band: keys of which any two near nodes share one. signed: node, signature, n. A pair that may differ in k places agrees on one of
+    k + 1 stretches of the signature whole. For texts that are not short these are stretches of 18 places, which unlike texts seldom share; the
+    shorter stretches for short texts count only where one of these has them. Near texts share a band of any banding() too."""
+
+    def keys(need: float):
+        n = PERMS - int(np.ceil(need * PERMS)) + 1
+        ends = [PERMS * i // n for i in range(n + 1)]
+        return F.explode(F.array(*[F.xxhash64(F.lit(n), F.lit(i), F.slice("signature", a + 1, b - a)) for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False))])).alias("band")
+
+    fine = signed.select("node", "n", keys(SHORT_NEED))
+    of_short = fine.where(F.col("n") <= SHORT).select("band")
+    return signed.select("node", keys(LONG_NEED)).unionAll(fine.join(of_short, "band", "left_semi").select("node", "band"))
+
+
 def agreement(a, b):
     """The share of equal places of two signatures."""
     return F.size(F.filter(F.zip_with(a, b, lambda p, q: p == q), lambda e: e)) / F.size(a)
@@ -65,10 +82,10 @@ def _near(rows: pd.DataFrame) -> pd.DataFrame:
     """Of a cell's rows the pairs of an open node and a later one that are similar enough; across its two parts, or in its one."""
     rows = rows.sort_values(["ts", "hash"], ignore_index=True)
     sig, part = np.stack(rows["signature"].to_numpy()).astype(np.uint32), rows["part"].to_numpy()
-    need, two = np.where(rows["n"].to_numpy() > 60, 0.95, 0.90), part.min() != part.max()
+    need, two = np.where(rows["n"].to_numpy() > SHORT, LONG_NEED, SHORT_NEED), part.min() != part.max()
     late, early = [], []
     for i in np.flatnonzero(rows["open"].to_numpy()):
-        ok = (sig[i + 1 :] == sig[i]).mean(1) >= need[i + 1 :]
+        ok = np.count_nonzero(sig[i + 1 :] == sig[i], axis=1) / sig.shape[1] >= need[i + 1 :]
         hit = i + 1 + np.flatnonzero(ok & (part[i + 1 :] != part[i]) if two else ok)
         late.append(hit)
         early.append(np.full(len(hit), i))
@@ -80,8 +97,10 @@ def _near(rows: pd.DataFrame) -> pd.DataFrame:
 def _met(members: DataFrame) -> DataFrame:
     """node, early of the similar pairs whose earlier node is open. members: band, node, n, signature, open. A band's nodes are dealt into parts of
     about BLOCK, and each two parts meet in one task; pairs are compared there, and only links come out."""
-    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    at = members.join(sizes, "band").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    # a band without a node behind an open one has no pair, and most bands hold one node
+    open_ = F.min(F.when(F.col("open"), F.col("node"))).alias("first")
+    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"), open_, F.max("node").alias("last"))
+    at = members.join(sizes.where("first < last").select("band", "parts"), "band").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     others = F.sequence(F.lit(0), F.col("parts") - 1)
     cell = F.explode(F.transform(others, lambda q: F.xxhash64("band", F.least("part", q), F.greatest("part", q)))).alias("cell")
     kinds = {f.name: f.dataType.simpleString() for f in members.schema["node"].dataType}
@@ -91,15 +110,15 @@ def _met(members: DataFrame) -> DataFrame:
 
 
 def canonicals(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """hash, canonical_hash. docs: hash, ts, text."""
+    """hash, canonical_hash. docs: hash, ts, text. The threshold's bands leave out no near text, whichever they are; see meeting()."""
     norm = docs.select("hash", "ts", T.normalise(F.col("text")).alias("norm"))
     nodes = cut(norm.groupBy("norm").agg(F.min(F.struct("ts", "hash")).alias("node")))
     sig = cut(signatures(nodes).join(nodes.select("node", F.length("norm").alias("n")), "node"))
-    banded = cut(bands(sig, threshold))
+    banded = cut(meeting(sig))
 
     def similar(pairs: DataFrame) -> DataFrame:
         near = pairs.distinct().join(sig, "node").join(sig.select(F.col("node").alias("early"), F.col("signature").alias("other")), "early")
-        return near.where(agreement(F.col("signature"), F.col("other")) >= F.when(F.col("n") > 60, 0.95).otherwise(0.90)).select("node", "early")
+        return near.where(agreement(F.col("signature"), F.col("other")) >= F.when(F.col("n") > SHORT, LONG_NEED).otherwise(SHORT_NEED)).select("node", "early")
 
     # a node that comes first in all its bands is canonical; whoever is near to such a one is none, and need not be met by others
     first = banded.groupBy("band").agg(F.min("node").alias("early"), F.count("*").alias("n")).where("n > 1").select("band", "early")

@@ -7,7 +7,7 @@ import numpy as np
 
 from skeinworks.functions import vectors as V
 from skeinworks.llm import expressible, pii
-from skeinworks.operators import threads
+from skeinworks.operators import canonical, clusters, threads
 from skeinworks.plans import procedures  # noqa: F401  registers its queries
 from skeinworks.plans import queries as plans
 
@@ -58,3 +58,39 @@ def test_supported_without_texts(spark):
     for seeds in (posts.select("hash"), posts.where("hash % 9 = 0").select("hash")):
         want = sorted(x.hash for x in threads.hydrated(posts, profiles, seeds).collect())
         assert sorted(x.hash for x in threads.supported(posts.select("hash", "fid", "quotes"), profiles, seeds).collect()) == want and want
+
+
+def test_density_beyond_the_matrix(monkeypatch):
+    """More rows than are held as a matrix: a spanning tree of the same distances, and the same clusters but for rows that ties leave open."""
+    r = np.random.default_rng(2)
+    x = np.concatenate([c + r.normal(0, 0.2, (60, 5)) for c in r.normal(0, 3, (4, 5))] + [r.normal(0, 6, (20, 5))])
+    made = lambda metric: clusters._spanning_tree(clusters._reach(x, 2, metric), len(x))[:, 2]
+    for metric, leaves in (("cosine", True), ("euclidean", False)):
+        monkeypatch.setattr(clusters, "MOST", 5000)
+        tree, want = made(metric), clusters.density_labels(x, 20, 2, metric, leaves)
+        monkeypatch.setattr(clusters, "MOST", 100)
+        monkeypatch.setattr(clusters, "HELD", 1000)
+        got = clusters.density_labels(x, 20, 2, metric, leaves)
+        assert np.allclose(made(metric), tree, rtol=0, atol=1e-9) and (got == want).mean() > 0.97 and want.max() >= 2
+
+
+def test_near_texts_meet_and_others_seldom(spark):
+    """Signatures that differ in as many places as near texts may, spread as badly as can be, share a key; those alike by six places in ten rarely."""
+    r = np.random.default_rng(6)
+    base = r.integers(0, 1 << 40, 128)
+    rows = [("a", base.tolist(), 100), ("b", base.tolist(), 30)]
+    for i, (n, length, m) in enumerate([(6, 100, 7), (12, 30, 13)] * 20):
+        v = base.copy()
+        v[[128 * j // m for j in range(m)][1:] if i < 2 else r.choice(128, n, False)] += 1
+        rows.append((f"near{i}", v.tolist(), length))
+    far = [np.where(r.random(128) < 0.6, base, r.integers(0, 1 << 40, 128)) for _ in range(200)]
+    rows += [(f"far{i}", v.tolist(), 1000) for i, v in enumerate(far)]
+    signed = spark.createDataFrame(rows, "node string, signature array<long>, n int").where("node <> 'b'")
+    keys = {}
+    for x in canonical.meeting(signed).collect():
+        keys.setdefault(x.node, set()).add(x.band)
+    assert all(keys["a"] & keys[k] for k in keys if k.startswith("near"))
+    long_ = {}
+    for x in canonical.meeting(signed.where("n > 60")).collect():
+        long_.setdefault(x.node, set()).add(x.band)
+    assert sum(bool(long_["a"] & long_[f"far{i}"]) for i in range(200)) < 5
