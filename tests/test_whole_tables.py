@@ -94,3 +94,14 @@ def test_near_texts_meet_and_others_seldom(spark):
     for x in canonical.meeting(signed.where("n > 60")).collect():
         long_.setdefault(x.node, set()).add(x.band)
     assert sum(bool(long_["a"] & long_[f"far{i}"]) for i in range(200)) < 5
+
+
+def test_sizes_need_no_texts(spark, monkeypatch):
+    """The sizes of threads are counted without their texts; a large thread has its root's text all the same."""
+    seen, sizes = [], threads.thread_sizes
+    monkeypatch.setattr(threads, "thread_sizes", lambda posts: seen.append(posts.where("text IS NOT NULL").count()) or sizes(posts))
+    rows = [(i, None if i == 1 else 1, 1, 1, f"text number {i} of this thread", [], [], [], []) for i in range(1, 6)]
+    posts = spark.createDataFrame(rows, "hash long, parent_hash long, root_hash long, fid long, text string, quotes array<long>, mentions array<long>, positions array<int>, urls array<string>")
+    reactions, labels = spark.createDataFrame([], "fid long, target_hash long, reaction_type int"), spark.createDataFrame([], "target_fid long, label_type string, label_value string")
+    made = threads.build(posts, reactions, labels, spark.createDataFrame([(1, "ann")], "fid long, username string"), large=4).collect()
+    assert seen == [0] and [m.blob for m in made] == ["@ann: text number 1 of this thread\n\n(thread too large: 5 replies)"]
